@@ -72,3 +72,40 @@ def q_crossdomain_features(spark, sf):
     ads = analog.ads(spark, sf).select("log_id", "user_id")
     return round_doubles(xd.crossdomain_features(ads, analog.feeds(spark, sf), NUNI_COLS, MEAN_COLS),
                          skip=EXACT_MEANS)
+
+
+# ---------------------------------------------------------------- time-gap features
+
+from clickwise.functions import timeparts as tp  # noqa: E402
+from clickwise.operators import gaps as gp  # noqa: E402
+from clickwise.plans.gap_sql import gap_sql  # noqa: E402
+
+
+def _gap_base(spark, sf):
+    return tp.with_minute_ordinal(analog.ads(spark, sf))
+
+
+def _gap_cols(keys, kinds):
+    n = "_".join(keys)
+    names = gp.feature_names(keys)
+    pick = {
+        "first": lambda c: c.startswith(f"ts_{n}_") and c.endswith(("_diff_next", "_diff_last")),
+        "stats": lambda c: c.startswith(f"ts_{n}_") and c.endswith(("_count", "_mean", "_max", "_min")),
+        "second": lambda c: c.startswith("ts_s_"),
+    }
+    return [c for c in names if any(pick[k](c) for k in kinds)]
+
+
+def _gap_query(name, key_sets, kinds):
+    cols = [c for ks in key_sets for c in _gap_cols(ks, kinds)]
+
+    @register(name, gap_sql(key_sets, ", ".join(["log_id"] + cols)))
+    def q(spark, sf):
+        return gp.gap_features(_gap_base(spark, sf), key_sets).select("log_id", *cols)
+    return q
+
+
+_gap_query("gap_next_last", [["user_id"]], ["first"])
+_gap_query("gap_stats", [["task_id"]], ["stats"])
+_gap_query("gap_second_order", [["user_id", "adv_id"]], ["second"])
+_gap_query("gap_multi_key", analog.GAP_KEY_SETS, ["first", "stats", "second"])

@@ -136,4 +136,8 @@ WHERE o.o_custkey % 3 <> 0
 
 def with_views(sql: str) -> str:
     """Prefix an oracle query with the two role views as CTEs."""
-    return f"WITH ads AS ({ADS_SQL}), feeds AS ({FEEDS_SQL})\n{sql}"
+    head = f"WITH ads AS ({ADS_SQL}), feeds AS ({FEEDS_SQL})"
+    body = sql.strip()
+    if body[:5].upper() == "WITH ":
+        return f"{head},\n{body[5:]}"
+    return f"{head}\n{body}"
