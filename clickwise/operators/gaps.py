@@ -112,31 +112,64 @@ def _group_stats(n: str, keys: list[str], order_col: str, gaps, leaky: bool) ->
     return cols
 
 
+def _neighbor_cols(keys: list[str], order_col: str, date_col: str, max_shift: int = MAX_SHIFT) -> dict:
+    n = gap_name(keys)
+    w = Window.partitionBy(*keys).orderBy(order_col)
+    cols = {}
+    for k in range(1, max_shift + 1):
+        cols[_dcol(n, k)] = F.lead(date_col, k).over(w)
+        cols[_dcol(n, -k)] = F.lag(date_col, k).over(w)
+    return cols
+
+
+def _family(df: DataFrame, key_sets: list[list[str]], order_col: str, date_col: str, gaps, leaky: bool,
+            hot_threshold: int | None) -> DataFrame:
+    """Features of key sets sharing a leading key.
+
+    Per key set: neighbours (window ordered by the ordinal), first-order gaps (projection), group
+    statistics (window over the same partition, so the sort of the first window serves it). One sort
+    per key set; the family shares one exchange.
+    """
+    keep = list(df.columns)
+    names = [c for ks in key_sets for c in feature_names(ks, gaps, leaky)]
+    second = {}
+    for ks in key_sets:
+        n = gap_name(ks)
+        df = _with_neighbors(df, [ks], _neighbor_cols(ks, order_col, date_col), order_col, date_col, hot_threshold)
+        df = df.withColumns(_first_order(n, date_col, gaps))
+        df = _with_stats(df, [ks], _group_stats(n, ks, order_col, gaps, leaky), order_col, gaps, leaky,
+                         hot_threshold)
+        second.update(_second_order(n, date_col, gaps))
+    df = df.withColumns(second)
+    # pandas gives NaN for every shift/transform of a row whose key is null
+    masked = []
+    for ks in key_sets:
+        ok = _keys_not_null(ks)
+        masked += [F.when(ok, F.col(c)).alias(c) for c in feature_names(ks, gaps, leaky)]
+    return df.select(*[c for c in keep if c not in names], *masked)
+
+
 def gap_features_one(df: DataFrame, keys: list[str], order_col: str = "ro", date_col: str = "date",
                      gaps=GAPS, leaky: bool = True, hot_threshold: int | None = DEFAULT_HOT_THRESHOLD) -> DataFrame:
     """Append the gap features of one key set."""
-    n = gap_name(keys)
-    names = feature_names(keys, gaps, leaky)
-    df = _with_neighbors(df, keys, order_col, date_col, hot_threshold)
-    df = df.withColumns(_first_order(n, date_col, gaps))
-    df = _with_stats(df, n, keys, order_col, gaps, leaky, hot_threshold)
-    df = df.withColumns(_second_order(n, date_col, gaps))
-    # pandas gives NaN for every shift/transform of a row whose key is null
-    ok = _keys_not_null(keys)
-    keep = [c for c in df.columns if not c.startswith(f"_d_{n}_") and c not in names]
-    return df.select(*keep, *[F.when(ok, F.col(c)).alias(c) for c in names])
+    return _family(df, [keys], order_col, date_col, gaps, leaky, hot_threshold)
 
 
 def gap_features(df: DataFrame, key_sets: list[list[str]], order_col: str = "ro", date_col: str = "date",
                  gaps=GAPS, leaky: bool = True, hot_threshold: int | None = DEFAULT_HOT_THRESHOLD) -> DataFrame:
-    """Append the gap features of every key set (W9). Key sets are reordered so the ones sharing a
-    leading key are adjacent (one exchange per leading key); the output column order follows
-    ``key_sets``."""
+    """Append the gap features of every key set.
+
+    Key sets sharing a leading key form a family; a hash partitioning on the leading key serves every
+    window of the family, so there is one exchange per family. Smaller families run first so that the
+    exchanges move rows that are still narrow. The output column order follows ``key_sets``.
+    """
     leads = list(dict.fromkeys(ks[0] for ks in key_sets))
-    ordered = sorted(key_sets, key=lambda ks: (leads.index(ks[0]), len(ks)))
+    families = [sorted([ks for ks in key_sets if ks[0] == lead], key=len) for lead in leads]
+    # smallest families first: their exchanges move rows before the big family widens them
+    families.sort(key=len)
     base_cols = list(df.columns)
-    for keys in ordered:
-        df = gap_features_one(df, keys, order_col, date_col, gaps, leaky, hot_threshold)
+    for fam in families:
+        df = _family(df, fam, order_col, date_col, gaps, leaky, hot_threshold)
     out = base_cols + [c for ks in key_sets for c in feature_names(ks, gaps, leaky)]
     return df.select(*out)
 
@@ -144,9 +177,9 @@ def gap_features(df: DataFrame, key_sets: list[list[str]], order_col: str = "ro"
 # --------------------------------------------------------------------------- plain / split paths
 
 
-def _with_neighbors(df, keys, order_col, date_col, hot_threshold):
-    return neighbor_dates(df, keys, order_col, date_col)
+def _with_neighbors(df, key_sets, cols, order_col, date_col, hot_threshold):
+    return df.withColumns(cols)
 
 
-def _with_stats(df, n, keys, order_col, gaps, leaky, hot_threshold):
-    return df.withColumns(_group_stats(n, keys, order_col, gaps, leaky))
+def _with_stats(df, key_sets, cols, order_col, gaps, leaky, hot_threshold):
+    return df.withColumns(cols)

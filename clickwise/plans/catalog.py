@@ -109,3 +109,80 @@ _gap_query("gap_next_last", [["user_id"]], ["first"])
 _gap_query("gap_stats", [["task_id"]], ["stats"])
 _gap_query("gap_second_order", [["user_id", "adv_id"]], ["second"])
 _gap_query("gap_multi_key", analog.GAP_KEY_SETS, ["first", "stats", "second"])
+
+
+# ---------------------------------------------------------------- encoding
+
+from clickwise.operators import encode as enc  # noqa: E402
+
+
+def _encode_sql(cols, compat=False):
+    ctes, sel, joins = [], ["a.log_id"], []
+    for i, c in enumerate(cols):
+        code = "CAST(row_number() OVER (ORDER BY first) - 1 AS INTEGER)"
+        if compat:
+            code = (f"CASE WHEN (SELECT count(*) FROM ads WHERE {c} IS NULL) > 0 AND row_number() OVER (ORDER BY first)"
+                    f" = count(*) OVER () THEN NULL ELSE {code} END")
+        ctes.append(f"c{i} AS (SELECT v, {code} AS code FROM (SELECT {c} AS v, min(ro) AS first FROM ads GROUP BY 1))")
+        sel.append(f"c{i}.code AS {c}")
+        joins.append(f"LEFT JOIN c{i} ON a.{c} IS NOT DISTINCT FROM c{i}.v")
+    return "WITH " + ", ".join(ctes) + f" SELECT {', '.join(sel)} FROM ads a " + " ".join(joins)
+
+
+@register("label_encode", _encode_sql(analog.LIST_COLUMNS))
+def q_label_encode(spark, sf):
+    a = analog.ads(spark, sf)
+    return enc.label_encode(a, analog.LIST_COLUMNS).select("log_id", *analog.LIST_COLUMNS)
+
+
+@register("label_encode_compat", _encode_sql(analog.LIST_COLUMNS, compat=True))
+def q_label_encode_compat(spark, sf):
+    a = analog.ads(spark, sf)
+    return enc.label_encode(a, analog.LIST_COLUMNS, compat=True).select("log_id", *analog.LIST_COLUMNS)
+
+
+# ---------------------------------------------------------------- sampling and folds
+
+from clickwise.operators import sampling as smp  # noqa: E402
+
+SAMPLE_SIZES = {0: 3000, 1: 500}
+H_SQL = "md5('2022|' || CAST(log_id AS VARCHAR))"
+
+
+def _train(spark, sf):
+    return analog.ads(spark, sf).where("istest = 0")
+
+
+@register("sample_stratified", f"""
+SELECT log_id, label FROM (
+  SELECT log_id, label, row_number() OVER (PARTITION BY label ORDER BY {H_SQL}, log_id) AS rn
+  FROM ads WHERE istest = 0 AND label IN (0, 1))
+WHERE (label = 0 AND rn <= {SAMPLE_SIZES[0]}) OR (label = 1 AND rn <= {SAMPLE_SIZES[1]})""")
+def q_sample_stratified(spark, sf):
+    return smp.sample_per_class(_train(spark, sf), "label", SAMPLE_SIZES).select("log_id", "label")
+
+
+@register("kfold_exact", f"""
+SELECT log_id, CAST(ntile(5) OVER (ORDER BY {H_SQL}, log_id) - 1 AS INTEGER) AS fold FROM ads WHERE istest = 0""")
+def q_kfold_exact(spark, sf):
+    return smp.kfold_exact(_train(spark, sf), 5).select("log_id", "fold")
+
+
+@register("kfold_hash", f"""
+SELECT log_id, CAST(CAST('0x' || substr({H_SQL}, 1, 8) AS BIGINT) % 5 AS INTEGER) AS fold FROM ads WHERE istest = 0""")
+def q_kfold_hash(spark, sf):
+    return smp.kfold_hash(_train(spark, sf), 5).select("log_id", "fold")
+
+
+@register("kfold_split_counts", f"""
+SELECT CAST(fold AS INTEGER) AS fold, count(*) AS n_valid, CAST(sum(count(*)) OVER () - count(*) AS BIGINT) AS n_train FROM (
+  SELECT ntile(5) OVER (ORDER BY {H_SQL}, log_id) - 1 AS fold FROM ads WHERE istest = 0) GROUP BY fold""")
+def q_kfold_split_counts(spark, sf):
+    return smp.fold_split_counts(smp.kfold_exact(_train(spark, sf), 5))
+
+
+@register("kfold_stratified", f"""
+SELECT log_id, label, CAST(ntile(5) OVER (PARTITION BY label ORDER BY {H_SQL}, log_id) - 1 AS INTEGER) AS fold
+FROM ads WHERE istest = 0""")
+def q_kfold_stratified(spark, sf):
+    return smp.kfold_exact(_train(spark, sf), 5, stratify_col="label").select("log_id", "label", "fold")

@@ -23,6 +23,11 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
+TYPE_MAP = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean",
+            "SMALLINT": "smallint", "TINYINT": "tinyint", "FLOAT": "float", "DATE": "date",
+            "TIMESTAMP": "timestamp_ntz"}
+
+
 def norm(v):
     if isinstance(v, float):
         if math.isnan(v):
@@ -72,6 +77,11 @@ def main():
             print(f"FAIL {name}: columns differ spark={cols} duck={sorted(dcols)}")
             bad += 1
             continue
+        dtypes = dict(zip(dcols, [str(t) for t in rel.types]))
+        stypes = {f.name: f.dataType.simpleString() for f in sdf.schema.fields}
+        tdiff = [(c, stypes[c], dtypes[c]) for c in cols if TYPE_MAP.get(dtypes[c], dtypes[c]) != stypes[c]]
+        if tdiff:
+            print(f"TYPE {name}: types differ {tdiff[:6]}")
         idx = [dcols.index(c) for c in cols]
         drows = [tuple(norm(r[i]) for i in idx) for r in drows_raw]
         cs, cd = Counter(srows), Counter(drows)
