@@ -36,30 +36,58 @@ def _bucketize(df: DataFrame, sort_key: Column, n_buckets: int, out: str) -> Dat
                       handleInvalid="keep").transform(keyed).drop("_rk_key")
 
 
-def running_sum(df: DataFrame, value: Column | str, order_cols: list[str], sort_key: Column,
-                group_cols: list[str] | tuple = (), out: str = "cum", n_buckets: int | None = None,
-                few_groups: bool = True) -> DataFrame:
-    """Add ``out`` = inclusive running sum of ``value`` in ``order_cols`` order (within ``group_cols``).
+_AGG = {"sum": F.sum, "xor": F.bit_xor}
+
+
+def _combine(kind: str, a: Column, b: Column) -> Column:
+    return a + b if kind == "sum" else a.bitwiseXOR(b)
+
+
+def running_scan(df: DataFrame, specs: list[tuple[Column | str, str, str]], order_cols: list[str], sort_key: Column,
+                 group_cols: list[str] | tuple = (), n_buckets: int | None = None, few_groups: bool = True) -> DataFrame:
+    """Inclusive prefix scans in ``order_cols`` order (within ``group_cols``).
+
+    ``specs`` is a list of ``(value, kind, out)`` with ``kind`` in ``{"sum", "xor"}`` (associative, with
+    identity 0). All scans share one bucketing, one shuffle and one window.
 
     ``few_groups`` says the number of groups is small (e.g. two classes), so the offset table
     (buckets × groups rows) is broadcast; otherwise it is joined on ``(group, bucket)``, the key the
-    data is already partitioned on, so only the offset table moves.
+    data is already partitioned on.
     """
     group_cols = list(group_cols)
     n_buckets = n_buckets or default_buckets(df.sparkSession)
-    value = F.col(value) if isinstance(value, str) else value
-    b = _bucketize(df.withColumn("_rk_v", value), sort_key, n_buckets, "_rk_b")
-    totals = b.groupBy(*group_cols, "_rk_b").agg(F.sum("_rk_v").alias("_rk_t"))
-    ow = Window.orderBy("_rk_b").rowsBetween(Window.unboundedPreceding, -1)
-    if group_cols:
-        ow = Window.partitionBy(*group_cols).orderBy("_rk_b").rowsBetween(Window.unboundedPreceding, -1)
+    vals = {f"_rk_v{i}": (F.col(v) if isinstance(v, str) else v) for i, (v, _, _) in enumerate(specs)}
+    b = _bucketize(df.withColumns(vals), sort_key, n_buckets, "_rk_b")
+    totals = b.groupBy(*group_cols, "_rk_b").agg(
+        *[_AGG[kind](f"_rk_v{i}").alias(f"_rk_t{i}") for i, (_, kind, _) in enumerate(specs)])
+    ow = Window.partitionBy(*group_cols).orderBy("_rk_b").rowsBetween(Window.unboundedPreceding, -1)
     # bounded: one row per (group, bucket)
-    offsets = totals.select(*group_cols, "_rk_b", F.coalesce(F.sum("_rk_t").over(ow), F.lit(0)).alias("_rk_o"))
+    offsets = totals.select(*group_cols, "_rk_b", *[
+        F.coalesce(_AGG[kind](f"_rk_t{i}").over(ow), F.lit(0).cast("long")).alias(f"_rk_o{i}")
+        for i, (_, kind, _) in enumerate(specs)])
     iw = (Window.partitionBy(*group_cols, "_rk_b").orderBy(*order_cols)
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    inner = b.withColumn("_rk_in", F.sum("_rk_v").over(iw))
+    inner = b.withColumns({f"_rk_in{i}": _AGG[kind](f"_rk_v{i}").over(iw) for i, (_, kind, _) in enumerate(specs)})
     res = inner.join(F.broadcast(offsets) if few_groups else offsets, [*group_cols, "_rk_b"], "left")
-    return res.withColumn(out, F.col("_rk_o") + F.col("_rk_in")).drop("_rk_v", "_rk_b", "_rk_t", "_rk_o", "_rk_in")
+    res = res.withColumns({out: _combine(kind, F.col(f"_rk_o{i}"), F.col(f"_rk_in{i}"))
+                           for i, (_, kind, out) in enumerate(specs)})
+    outs = {out for _, _, out in specs}
+    tmp = [c for c in res.columns if c.startswith("_rk_") and c not in outs]
+    return res.drop(*tmp)
+
+
+def running_sum(df: DataFrame, value: Column | str, order_cols: list[str], sort_key: Column,
+                group_cols: list[str] | tuple = (), out: str = "cum", n_buckets: int | None = None,
+                few_groups: bool = True) -> DataFrame:
+    """Add ``out`` = inclusive running sum of ``value`` (see :func:`running_scan`)."""
+    return running_scan(df, [(value, "sum", out)], order_cols, sort_key, group_cols, n_buckets, few_groups)
+
+
+def running_xor(df: DataFrame, value: Column | str, order_cols: list[str], sort_key: Column,
+                group_cols: list[str] | tuple = (), out: str = "cum", n_buckets: int | None = None,
+                few_groups: bool = True) -> DataFrame:
+    """Add ``out`` = inclusive running bitwise XOR of ``value`` (see :func:`running_scan`)."""
+    return running_scan(df, [(value, "xor", out)], order_cols, sort_key, group_cols, n_buckets, few_groups)
 
 
 def global_rank(df: DataFrame, order_cols: list[str], sort_key: Column, group_cols: list[str] | tuple = (),

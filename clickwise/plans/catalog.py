@@ -186,3 +186,121 @@ SELECT log_id, label, CAST(ntile(5) OVER (PARTITION BY label ORDER BY {H_SQL}, l
 FROM ads WHERE istest = 0""")
 def q_kfold_stratified(spark, sf):
     return smp.kfold_exact(_train(spark, sf), 5, stratify_col="label").select("log_id", "label", "fold")
+
+
+# ---------------------------------------------------------------- scores
+
+from clickwise.plans import evaluate as ev  # noqa: E402
+
+# Deterministic stand-ins for three learners' scores, so the score arithmetic is SQL-checkable.
+PSEUDO_SCORES = {"value": "app_score", "adv": "adv_id", "slot": "slot_id"}
+FOLD_SQL = f"CAST(CAST('0x' || substr({H_SQL}, 1, 8) AS BIGINT) % 5 AS INTEGER)"
+
+
+def _auc_sql(score: str, group: str) -> str:
+    return f"""
+SELECT {group}, sum(pos * (below + neg / 2.0)) / (sum(pos) * sum(neg)) AS auc,
+       CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg FROM (
+  SELECT *, coalesce(sum(neg) OVER (PARTITION BY {group} ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+            AS below
+  FROM (SELECT {group}, {score} AS s, sum(label) AS pos, sum(1 - label) AS neg
+        FROM (SELECT *, {FOLD_SQL} AS fold FROM ads WHERE istest = 0) GROUP BY {group}, {score}))
+GROUP BY {group}"""
+
+
+@register("auc_exact", f"SELECT fold, round(auc, 6) AS auc, n_pos, n_neg FROM ({_auc_sql('app_score', 'fold')})")
+def q_auc_exact(spark, sf):
+    t = smp.kfold_hash(_train(spark, sf), 5)
+    return round_doubles(ev.auc(t, "app_score", "label", ["fold"]))
+
+
+def _score_long(spark, sf):
+    t = smp.kfold_hash(_train(spark, sf), 5)
+    parts = [ev.auc(t.withColumn("_score", F.col(c).cast("double")), "_score", "label", ["fold"])
+             .withColumn("learner", F.lit(name)) for name, c in PSEUDO_SCORES.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+_SCORES_SQL = " UNION ALL ".join(f"SELECT '{n}' AS learner, fold, auc FROM ({_auc_sql(c, 'fold')})"
+                                 for n, c in PSEUDO_SCORES.items())
+
+
+@register("cv_score_summary", f"""
+SELECT coalesce(learner, 'all') AS learner, count(auc) AS n_folds, round(avg(auc), 6) AS score_mean,
+       round(stddev_pop(auc), 6) AS score_std
+FROM ({_SCORES_SQL}) GROUP BY ROLLUP (learner)""")
+def q_cv_score_summary(spark, sf):
+    return round_doubles(ev.score_summary(_score_long(spark, sf)))
+
+
+# ---------------------------------------------------------------- sort, top-k, merge
+
+from clickwise.operators import topk  # noqa: E402
+from clickwise.operators import sequence as seq  # noqa: E402
+
+TOP_K = 10
+
+
+@register("sort_with_rank", """
+SELECT log_id, app_score, row_number() OVER (ORDER BY app_score, log_id) - 1 AS pos FROM ads""")
+def q_sort_with_rank(spark, sf):
+    a = analog.ads(spark, sf).select("log_id", "app_score")
+    return topk.sort_with_rank(a, ["app_score", "log_id"], F.col("app_score"))
+
+
+@register("top_k_smallest", f"SELECT log_id, app_score FROM ads ORDER BY app_score, log_id LIMIT {TOP_K}")
+def q_top_k_smallest(spark, sf):
+    return topk.k_smallest(analog.ads(spark, sf).select("log_id", "app_score"), TOP_K, ["app_score", "log_id"])
+
+
+@register("top_k_largest", f"SELECT log_id, app_score FROM ads ORDER BY app_score DESC, log_id DESC LIMIT {TOP_K}")
+def q_top_k_largest(spark, sf):
+    return topk.k_largest(analog.ads(spark, sf).select("log_id", "app_score"), TOP_K, ["app_score", "log_id"])
+
+
+@register("top_k_per_user", """
+SELECT user_id, log_id, app_score, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT user_id, log_id, app_score, row_number() OVER (PARTITION BY user_id ORDER BY app_score DESC, log_id) AS rank
+  FROM ads) WHERE rank <= 3""")
+def q_top_k_per_user(spark, sf):
+    a = analog.ads(spark, sf).select("user_id", "log_id", "app_score")
+    return topk.top_k_per_group(a, ["user_id"], 3, [F.col("app_score").desc(), F.col("log_id")], "log_id")
+
+
+@register("ordered_merge", """
+SELECT log_id, istest, row_number() OVER (ORDER BY pt_d, log_id) - 1 AS pos FROM (
+  SELECT log_id, istest, pt_d FROM ads WHERE istest = 0 UNION ALL SELECT log_id, istest, pt_d FROM ads WHERE istest = 1)""")
+def q_ordered_merge(spark, sf):
+    a = analog.ads(spark, sf).select("log_id", "istest", "pt_d")
+    parts = [a.where("istest = 0"), a.where("istest = 1")]
+    return topk.ordered_merge(parts, ["pt_d", "log_id"], F.col("pt_d")).select("log_id", "istest", "pos")
+
+
+# Bit of each event type in the parity mask (alphabetical order of the type names).
+EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
+
+
+def _type_bit():
+    expr = F.lit(0)
+    for i, t in enumerate(EVENT_TYPES):
+        expr = F.when(F.col("event_type") == t, F.lit(1 << i)).otherwise(expr)
+    return expr
+
+
+@register("parity_run", f"""
+WITH e AS (SELECT user_id, ts, event_id,
+                  CASE event_type {' '.join(f"WHEN '{t}' THEN {1 << i}" for i, t in enumerate(EVENT_TYPES))} ELSE 0 END AS bit
+           FROM events),
+p AS (SELECT user_id, row_number() OVER w AS pos,
+             bit_xor(bit) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS mask
+      FROM e WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)
+      UNION ALL SELECT DISTINCT user_id, 0, 0 FROM events),
+s AS (SELECT user_id, mask, max(pos) - min(pos) AS span FROM p GROUP BY user_id, mask)
+SELECT user_id, CAST(max(span) AS BIGINT) AS longest FROM s GROUP BY user_id""")
+def q_parity_run(spark, sf):
+    e = spark.read.parquet(f"{sf}/events.parquet")
+    key = F.unix_micros(F.col("ts").cast("timestamp"))
+    return seq.longest_even_run(e, "user_id", _type_bit(), ["ts", "event_id"], key)
