@@ -304,3 +304,95 @@ def q_parity_run(spark, sf):
     e = spark.read.parquet(f"{sf}/events.parquet")
     key = F.unix_micros(F.col("ts").cast("timestamp"))
     return seq.longest_even_run(e, "user_id", _type_bit(), ["ts", "event_id"], key)
+
+
+# ---------------------------------------------------------------- bounds and type narrowing
+
+from clickwise.operators import narrow as nr  # noqa: E402
+
+ADS_NUMERIC = ["log_id", "label", "user_id", "adv_id", "task_id", "adv_prim_id", "creat_type_cd", "inter_type_cd",
+               "slot_id", "site_id", "spread_app_id", "app_score", "pt_d", "istest", "ro"]
+_SPARK_TYPE_SQL = ("CASE any_value(typeof({c})) WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' "
+                   "WHEN 'SMALLINT' THEN 'smallint' WHEN 'DOUBLE' THEN 'double' WHEN 'FLOAT' THEN 'float' END")
+
+
+def _bounds_sql() -> str:
+    parts = []
+    for c in ADS_NUMERIC:
+        parts.append(
+            f"SELECT '{c}' AS col_name, {_SPARK_TYPE_SQL.format(c=c)} AS dtype, CAST(min({c}) AS DOUBLE) AS min, "
+            f"CAST(max({c}) AS DOUBLE) AS max, CASE WHEN any_value(typeof({c})) IN ('DOUBLE', 'FLOAT') THEN "
+            f"max(CAST(CAST(CAST({c} AS FLOAT) AS DOUBLE) <> CAST({c} AS DOUBLE) AS INTEGER)) END AS lossy_f32, "
+            f"count(*) AS n_rows FROM ads")
+    return " UNION ALL ".join(parts)
+
+
+_PLAN_SQL = f"""
+SELECT col_name, dtype, min, max, n_rows,
+  CASE WHEN dtype IN ('smallint', 'int', 'bigint') THEN
+         CASE WHEN min IS NULL THEN 'float64'
+              WHEN min > -128 AND max < 127 THEN 'tinyint'
+              WHEN min > -32768 AND max < 32767 THEN 'smallint'
+              WHEN min > -2147483648 AND max < 2147483647 THEN 'int' ELSE 'bigint' END
+       ELSE CASE WHEN min IS NULL THEN 'float64'
+                 WHEN min > -65504 AND max < 65504 THEN 'float16'
+                 WHEN min > -3.4028234663852886e38 AND max < 3.4028234663852886e38 THEN 'float32'
+                 ELSE 'float64' END END AS ref_type,
+  lossy_f32
+FROM ({_bounds_sql()})"""
+
+_PLAN_TARGET_SQL = f"""
+SELECT *, CASE WHEN dtype IN ('smallint', 'int', 'bigint') THEN (CASE WHEN min IS NULL THEN dtype ELSE ref_type END)
+               WHEN lossy_f32 = 0 AND ref_type <> 'float64' THEN 'float' ELSE dtype END AS spark_type
+FROM ({_PLAN_SQL})"""
+
+
+@register("numeric_bounds", f"SELECT col_name, dtype, min, max FROM ({_bounds_sql()})")
+def q_numeric_bounds(spark, sf):
+    return nr.bounds_frame(analog.ads(spark, sf)).select("col_name", "dtype", "min", "max")
+
+
+@register("narrow_types_plan", f"SELECT col_name, dtype, min, max, ref_type, spark_type FROM ({_PLAN_TARGET_SQL})")
+def q_narrow_types_plan(spark, sf):
+    return nr.plan_frame(analog.ads(spark, sf)).drop("n_rows")
+
+
+_SQL_TYPE = {"tinyint": "TINYINT", "smallint": "SMALLINT", "int": "INTEGER", "bigint": "BIGINT", "float": "FLOAT",
+             "double": "DOUBLE"}
+
+
+def _apply_sql() -> str:
+    parts = []
+    for c in ADS_NUMERIC:
+        eq = " ".join(f"WHEN '{t}' THEN CAST(TRY_CAST(a.{c} AS {st}) = a.{c} AS INTEGER)" for t, st in _SQL_TYPE.items())
+        parts.append(f"SELECT '{c}' AS col_name, any_value(p.spark_type) AS spark_type, count(*) AS n_rows, "
+                     f"CAST(sum(CASE p.spark_type {eq} END) AS BIGINT) AS n_equal "
+                     f"FROM ads a, (SELECT spark_type FROM plan WHERE col_name = '{c}') p")
+    return f"WITH plan AS ({_PLAN_TARGET_SQL}) " + " UNION ALL ".join(parts)
+
+
+@register("narrow_types_apply", _apply_sql())
+def q_narrow_types_apply(spark, sf):
+    a = analog.ads(spark, sf).select(*ADS_NUMERIC)
+    plan = nr.narrowing_plan(a)
+    both = nr.apply_plan(a.select(*ADS_NUMERIC, *[F.col(c).alias(f"{c}__orig") for c in ADS_NUMERIC]), plan)
+    types = {f.name: f.dataType.simpleString() for f in both.schema.fields}
+    agg = both.agg(F.count(F.lit(1)).alias("n"),
+                   *[F.sum((F.col(c) == F.col(f"{c}__orig")).cast("long")).alias(f"eq_{c}") for c in ADS_NUMERIC])
+    args = ", ".join(f"'{c}', '{types[c]}', eq_{c}" for c in ADS_NUMERIC)
+    return agg.selectExpr(f"stack({len(ADS_NUMERIC)}, {args}) AS (col_name, spark_type, n_equal)", "n AS n_rows")
+
+
+@register("narrow_types_report", f"""
+WITH p AS ({_PLAN_TARGET_SQL}),
+w AS (SELECT col_name,
+             n_rows * CASE dtype WHEN 'tinyint' THEN 1 WHEN 'smallint' THEN 2 WHEN 'int' THEN 4 WHEN 'float' THEN 4 ELSE 8 END
+               AS bytes_before,
+             n_rows * CASE spark_type WHEN 'tinyint' THEN 1 WHEN 'smallint' THEN 2 WHEN 'int' THEN 4 WHEN 'float' THEN 4
+               ELSE 8 END AS bytes_after FROM p),
+t AS (SELECT col_name, bytes_before, bytes_after FROM w
+      UNION ALL SELECT '__total__', CAST(sum(bytes_before) AS BIGINT), CAST(sum(bytes_after) AS BIGINT) FROM w)
+SELECT col_name, CAST(bytes_before AS BIGINT) AS bytes_before, CAST(bytes_after AS BIGINT) AS bytes_after,
+       round(100.0 * (bytes_before - bytes_after) / bytes_before, 1) AS reduction_pct FROM t""")
+def q_narrow_types_report(spark, sf):
+    return nr.size_report(analog.ads(spark, sf).select(*ADS_NUMERIC))
