@@ -32,6 +32,8 @@ def _bucketize(df: DataFrame, sort_key: Column, n_buckets: int, out: str) -> Dat
     probs = [i / n_buckets for i in range(1, n_buckets)]
     bounds = keyed.approxQuantile("_rk_key", probs, 1.0 / (4 * n_buckets)) if probs else []
     splits = [float("-inf")] + sorted(set(b for b in bounds if b is not None)) + [float("inf")]
+    if len(splits) < 3:  # a single bucket
+        return keyed.withColumn(out, F.lit(0.0)).drop("_rk_key")
     return Bucketizer(splits=splits, inputCol="_rk_key", outputCol=out,
                       handleInvalid="keep").transform(keyed).drop("_rk_key")
 

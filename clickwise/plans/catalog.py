@@ -396,3 +396,172 @@ SELECT col_name, CAST(bytes_before AS BIGINT) AS bytes_before, CAST(bytes_after
        round(100.0 * (bytes_before - bytes_after) / bytes_before, 1) AS reduction_pct FROM t""")
 def q_narrow_types_report(spark, sf):
     return nr.size_report(analog.ads(spark, sf).select(*ADS_NUMERIC))
+
+
+# ---------------------------------------------------------------- sources, projection, simple groups
+
+from clickwise.operators import basic  # noqa: E402
+from clickwise.sources import io as sio  # noqa: E402
+
+LR_COLUMNS = ["log_id", "label", "user_id", "adv_id", "task_id", "creat_type_cd", "slot_id", "app_score"]
+
+
+@register("scan_subset", f"SELECT {', '.join(LR_COLUMNS)} FROM ads")
+def q_scan_subset(spark, sf):
+    return round_doubles(analog.ads(spark, sf).select(*LR_COLUMNS))
+
+
+@register("csv_scan_ordinal", """
+SELECT log_id, user_id, pt_d, ad_click_list_v001, row_number() OVER (ORDER BY ro) - 1 AS ro FROM ads""")
+def q_csv_scan_ordinal(spark, sf):
+    """Write the impressions as CSV in row order, scan them back with a declared schema, and recover
+    the file-order ordinal."""
+    a = analog.ads(spark, sf).select("log_id", "user_id", "pt_d", "ad_click_list_v001", "ro")
+    path = sio.scratch_path(spark, "ads-csv")
+    a.orderBy("ro").drop("ro").write.option("header", True).csv(path)
+    schema = "log_id bigint, user_id bigint, pt_d bigint, ad_click_list_v001 string"
+    back = spark.read.option("header", True).schema(schema).csv(path)
+    return sio.with_file_ordinal(back, "ro")
+
+
+@register("head_n", "SELECT * FROM ads ORDER BY ro LIMIT 10")
+def q_head_n(spark, sf):
+    return round_doubles(sio.head_n(analog.ads(spark, sf), 10, "ro"))
+
+
+@register("submission_roundtrip", """
+SELECT log_id, round(app_score / 1000.0, 6) AS pctr FROM ads WHERE istest = 1""")
+def q_submission_roundtrip(spark, sf):
+    test = analog.ads(spark, sf).where("istest = 1")
+    preds = test.select("log_id", F.round(F.col("app_score") / 1000.0, 6).alias("pctr"))
+    path = sio.write_submission(preds, sio.scratch_path(spark, "submission"))
+    return sio.read_submission(spark, path)
+
+
+@register("profile_table", " UNION ALL ".join(
+    f"SELECT '{c}' AS col_name, CASE any_value(typeof({c})) WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' "
+    f"WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string' END AS dtype, count({c}) AS non_null FROM ads"
+    for c in ["log_id", "label", "user_id", "adv_id", "task_id", "adv_prim_id", "creat_type_cd", "inter_type_cd",
+              "slot_id", "site_id", "spread_app_id", "app_score", "ad_click_list_v001", "u_newsCatInterestsST",
+              "pt_d", "istest", "ro"]))
+def q_profile_table(spark, sf):
+    return sio.profile(analog.ads(spark, sf))
+
+
+@register("union_train_test", """
+SELECT log_id, label, istest, CAST(istest AS BIGINT) * 1099511627776 + pos AS ro FROM (
+  SELECT log_id, label, 0 AS istest, row_number() OVER (ORDER BY ro) - 1 AS pos FROM ads WHERE istest = 0
+  UNION ALL
+  SELECT log_id, NULL AS label, 1 AS istest, row_number() OVER (ORDER BY ro) - 1 AS pos FROM ads WHERE istest = 1)""")
+def q_union_train_test(spark, sf):
+    a = analog.ads(spark, sf)
+    train = a.where("istest = 0").select("log_id", "label", "ro")
+    test = a.where("istest = 1").select("log_id", "ro")  # the test log has no label column
+    from clickwise.operators.rank import global_rank
+    train = global_rank(train, ["ro"], F.col("ro"), out="pos").drop("ro")
+    test = global_rank(test, ["ro"], F.col("ro"), out="pos").drop("ro")
+    return basic.union_train_test(train, test, "pos").select("log_id", "label", "istest", "ro")
+
+
+@register("project_exclude", "SELECT * EXCLUDE (label, istest, log_id) FROM ads")
+def q_project_exclude(spark, sf):
+    return round_doubles(basic.project_exclude(analog.ads(spark, sf)))
+
+
+@register("split_train_test", """
+SELECT istest, count(*) AS n_rows, count(label) AS n_labelled, CAST(sum(label) AS BIGINT) AS n_pos
+FROM ads GROUP BY istest""")
+def q_split_train_test(spark, sf):
+    train, test = basic.split(analog.ads(spark, sf))
+    def summ(d):
+        return d.groupBy("istest").agg(F.count(F.lit(1)).alias("n_rows"), F.count("label").alias("n_labelled"),
+                                       F.sum("label").cast("long").alias("n_pos"))
+    return summ(train).unionByName(summ(test))
+
+
+@register("group_count", "SELECT adv_id, count(app_score) AS n FROM ads WHERE adv_id IS NOT NULL GROUP BY adv_id")
+def q_group_count(spark, sf):
+    return basic.group_count(analog.ads(spark, sf), "adv_id", "app_score")
+
+
+@register("group_nunique", """
+SELECT user_id, count(DISTINCT adv_id) AS nunique FROM ads WHERE user_id IS NOT NULL GROUP BY user_id""")
+def q_group_nunique(spark, sf):
+    return basic.group_nunique(analog.ads(spark, sf), "user_id", "adv_id")
+
+
+@register("column_cardinality", " UNION ALL ".join(
+    f"SELECT '{c}' AS col_name, count(DISTINCT {c}) + max(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS n_unique, "
+    f"count(DISTINCT {c}) AS n_nunique FROM ads" for c in analog.LIST_COLUMNS))
+def q_column_cardinality(spark, sf):
+    return basic.column_cardinality(analog.ads(spark, sf), analog.LIST_COLUMNS)
+
+
+@register("global_lag", """
+SELECT log_id, app_score, lag(app_score, 1) OVER (ORDER BY ro) AS app_score_lag1 FROM ads""")
+def q_global_lag(spark, sf):
+    a = analog.ads(spark, sf).select("log_id", "app_score", "ro")
+    return basic.global_shift(a, "app_score", ["ro"], F.col("ro")).drop("ro")
+
+
+@register("group_diff", """
+SELECT log_id, round(app_score - lag(app_score, 1) OVER (PARTITION BY user_id ORDER BY ro), 6) AS app_score_diff
+FROM ads""")
+def q_group_diff(spark, sf):
+    a = analog.ads(spark, sf)
+    return round_doubles(basic.group_diff(a, ["user_id"], "ro", "app_score").select("log_id", "app_score_diff"))
+
+
+@register("group_size_broadcast", "SELECT log_id, count(app_score) OVER (PARTITION BY adv_id) AS n FROM ads")
+def q_group_size_broadcast(spark, sf):
+    return basic.group_size_broadcast(analog.ads(spark, sf), ["adv_id"], "app_score").select("log_id", "n")
+
+
+# ---------------------------------------------------------------- scalar functions on packed times
+
+_SLICE_SQL = ", ".join(f"CAST(substr(CAST(pt_d AS VARCHAR), {s + 1}, 2) AS INTEGER) AS {n}"
+                       for n, s in [("month", 4), ("day", 6), ("hour", 8), ("minu", 10)])
+
+
+@register("time_parts_slice", f"SELECT log_id, {_SLICE_SQL} FROM ads")
+def q_time_parts_slice(spark, sf):
+    return tp.time_parts_slice(analog.ads(spark, sf)).select("log_id", "month", "day", "hour", "minu")
+
+
+@register("minute_ordinal", f"SELECT log_id, day * 1440 + hour * 60 + minu AS date FROM (SELECT log_id, {_SLICE_SQL} FROM ads)")
+def q_minute_ordinal(spark, sf):
+    return tp.with_minute_ordinal(analog.ads(spark, sf)).select("log_id", "date")
+
+
+@register("time_parts_arith", """
+SELECT log_id, CAST(pt_d // 100000000 AS INTEGER) AS year, CAST(pt_d % 100000000 // 1000000 AS INTEGER) AS month,
+       CAST(pt_d % 1000000 // 10000 AS INTEGER) AS day, CAST(pt_d % 10000 // 100 AS INTEGER) AS hour,
+       CAST(pt_d % 100 AS INTEGER) AS minute FROM ads""")
+def q_time_parts_arith(spark, sf):
+    return analog.ads(spark, sf).select("log_id", *[c.alias(n) for n, c in tp.time_parts_arith("pt_d").items()])
+
+
+@register("parse_packed_time", "SELECT log_id, strptime(CAST(pt_d AS VARCHAR), '%Y%m%d%H%M') AS ts FROM ads")
+def q_parse_packed_time(spark, sf):
+    return analog.ads(spark, sf).select("log_id", tp.parse_packed_time("pt_d").alias("ts"))
+
+
+@register("calendar_parts", """
+SELECT log_id, CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month, CAST(day(ts) AS INTEGER) AS day,
+       CAST(isodow(ts) - 1 AS INTEGER) AS weekday, CAST(hour(ts) AS INTEGER) AS hour
+FROM (SELECT log_id, strptime(CAST(pt_d AS VARCHAR), '%Y%m%d%H%M') AS ts FROM ads)""")
+def q_calendar_parts(spark, sf):
+    a = analog.ads(spark, sf).select("log_id", tp.parse_packed_time("pt_d").alias("ts"))
+    return a.select("log_id", *[c.alias(n) for n, c in tp.calendar_parts("ts").items()])
+
+
+@register("safe_narrow_cast", """
+SELECT log_id, TRY_CAST(user_id AS TINYINT) AS user_id_i8, TRY_CAST(pt_d AS INTEGER) AS pt_d_i32,
+       CAST(pt_d AS VARCHAR) AS pt_d_str, CAST(CAST(pt_d AS VARCHAR) AS BIGINT) AS pt_d_back,
+       TRY_CAST(CAST(pt_d // 100000000 AS INTEGER) AS TINYINT) AS year_i8 FROM ads""")
+def q_safe_narrow_cast(spark, sf):
+    a = analog.ads(spark, sf)
+    return a.select("log_id", tp.safe_cast("user_id", "tinyint").alias("user_id_i8"),
+                    tp.safe_cast("pt_d", "int").alias("pt_d_i32"), F.col("pt_d").cast("string").alias("pt_d_str"),
+                    F.col("pt_d").cast("string").cast("long").alias("pt_d_back"),
+                    tp.safe_cast(tp.time_parts_arith("pt_d")["year"], "tinyint").alias("year_i8"))
