@@ -565,3 +565,174 @@ def q_safe_narrow_cast(spark, sf):
                     tp.safe_cast("pt_d", "int").alias("pt_d_i32"), F.col("pt_d").cast("string").alias("pt_d_str"),
                     F.col("pt_d").cast("string").cast("long").alias("pt_d_back"),
                     tp.safe_cast(tp.time_parts_arith("pt_d")["year"], "tinyint").alias("year_i8"))
+
+
+# ---------------------------------------------------------------- the full feature table (flagship)
+
+from clickwise.plans import features as ft  # noqa: E402
+
+DOUBLE_MEANS = [c + "_feeds_mean" for c in MEAN_COLS if c not in MEAN_INT_COLS]
+_ADS_OUT = ["log_id", "label", "user_id", "adv_id", "task_id", "adv_prim_id", "creat_type_cd", "inter_type_cd",
+            "slot_id", "site_id", "spread_app_id", "app_score", "ad_click_list_v001", "u_newsCatInterestsST", "pt_d",
+            "istest", "ro"]
+_GAP_OUT = [c for ks in analog.GAP_KEY_SETS for c in gp.feature_names(ks)]
+_CROSS_OUT = [c + "_feeds_nuni" for c in NUNI_COLS] + [c + "_feeds_mean" for c in MEAN_COLS]
+
+
+def _features_sql() -> str:
+    enc_sql = _encode_sql(analog.LIST_COLUMNS)
+    cross_sql = f"""
+SELECT a.log_id, f.* EXCLUDE (u_userId) FROM ads a LEFT JOIN (
+  SELECT u_userId, {_nuni_sql()}, {_mean_sql()} FROM feeds WHERE u_userId IS NOT NULL GROUP BY u_userId
+) f ON a.user_id = f.u_userId"""
+    gap = gap_sql(analog.GAP_KEY_SETS, ", ".join(["log_id", "month", "day", "hour", "minu", "date"] + _GAP_OUT))
+    gap_ctes, gap_select = gap[len("WITH "):].rsplit("\nSELECT ", 1)
+    plain = [c for c in _ADS_OUT if c not in analog.LIST_COLUMNS]
+    return (f"WITH {gap_ctes}, gsel AS (SELECT {gap_select}), enc AS ({enc_sql}), cross_f AS ({cross_sql})\n"
+            f"SELECT {', '.join('a.' + c for c in plain)}, {', '.join('enc.' + c for c in analog.LIST_COLUMNS)}, "
+            f"{', '.join('cross_f.' + c for c in _CROSS_OUT)}, "
+            f"{', '.join('gsel.' + c for c in ['month', 'day', 'hour', 'minu', 'date'] + _GAP_OUT)}\n"
+            f"FROM ads a JOIN enc USING (log_id) JOIN cross_f USING (log_id) JOIN gsel USING (log_id)")
+
+
+def ctr_feature_frame(spark, sf, **kw):
+    a = analog.ads(spark, sf)
+    return ft.feature_table(a, analog.feeds(spark, sf), analog.LIST_COLUMNS, analog.GAP_KEY_SETS, NUNI_COLS,
+                            MEAN_COLS, **kw)
+
+
+@register("ctr_features", _features_sql())
+def q_ctr_features(spark, sf):
+    return round_doubles(ctr_feature_frame(spark, sf), only=DOUBLE_MEANS)
+
+
+# ---------------------------------------------------------------- learners, cross-validation, fusion
+
+from clickwise.plans import fusion as fu  # noqa: E402
+from clickwise.plans import models as md  # noqa: E402
+
+MODEL_COLS = ["adv_id", "task_id", "creat_type_cd", "slot_id", "app_score", "ts_user_id_1_diff_last",
+              "ts_user_id_1_diff_next", "l_quantity_feeds_mean"]
+MODEL_ROUNDS = 8  # kept small: the queries check the plumbing, the bench times it
+
+
+def _model_frames(spark, sf, missing="sentinel"):
+    """(train, test, feature list) over a small slice of the feature table, nulls filled."""
+    a = analog.ads(spark, sf)
+    base = gp.gap_features(tp.with_minute_ordinal(a), [["user_id"]])
+    base = xd.crossdomain_features(base, analog.feeds(spark, sf), ["l_partkey"], ["l_quantity"])
+    prepared, feats = md.prepare(base.select("log_id", "label", "istest", *MODEL_COLS), MODEL_COLS, missing)
+    return prepared.where("istest = 0"), prepared.where("istest = 1"), feats
+
+
+@register("lr_baseline")
+def q_lr_baseline(spark, sf):
+    a = analog.ads(spark, sf)
+    train = smp.sample_per_class(a.where("istest = 0"), "label", SAMPLE_SIZES)
+    train, feats = md.prepare(train, analog.PROFILE_COLUMNS, "mean", flags=False)
+    test, _ = md.prepare(a.where("istest = 1"), analog.PROFILE_COLUMNS, "mean", flags=False)
+    model = md.fit(md.logistic(), md.assemble(train, feats))
+    return md.predict_proba(model, md.assemble(test, feats), "pctr").select("log_id", "pctr")
+
+
+def _cv(spark, sf, learner):
+    train, test, feats = _model_frames(spark, sf)
+    return md.cv_model(learner, train, test, feats)
+
+
+@register("gbt_cat")
+def q_gbt_cat(spark, sf):
+    return _cv(spark, sf, md.gbt_cat(MODEL_ROUNDS)).test.withColumnRenamed("p", "pctr")
+
+
+@register("gbt_lgb")
+def q_gbt_lgb(spark, sf):
+    return _cv(spark, sf, md.gbt_lgb(MODEL_ROUNDS)).test.withColumnRenamed("p", "pctr")
+
+
+@register("gbt_xgb")
+def q_gbt_xgb(spark, sf):
+    return _cv(spark, sf, md.gbt_xgb(MODEL_ROUNDS)).test.withColumnRenamed("p", "pctr")
+
+
+@register("predict_proba")
+def q_predict_proba(spark, sf):
+    train, test, feats = _model_frames(spark, sf)
+    model = md.fit(md.gbt_lgb(MODEL_ROUNDS), md.assemble(train, feats))
+    return md.predict_proba(model, md.assemble(test, feats), "pctr").select("log_id", "pctr")
+
+
+@register("cv_oof")
+def q_cv_oof(spark, sf):
+    return _cv(spark, sf, md.gbt_lgb(MODEL_ROUNDS)).oof
+
+
+@register("cv_test_mean")
+def q_cv_test_mean(spark, sf):
+    return _cv(spark, sf, md.gbt_xgb(MODEL_ROUNDS)).test
+
+
+@register("cv_fold_scores")
+def q_cv_fold_scores(spark, sf):
+    r = _cv(spark, sf, md.gbt_lgb(MODEL_ROUNDS))
+    return ev.score_summary(r.scores)
+
+
+@register("fusion_stacking")
+def q_fusion_stacking(spark, sf):
+    train, test, feats = _model_frames(spark, sf)
+    learners = [md.gbt_lgb(MODEL_ROUNDS), md.gbt_xgb(MODEL_ROUNDS), md.gbt_cat(MODEL_ROUNDS)]
+    res = fu.run_learners(learners, train, test, feats)
+    names = list(res)
+    oof = fu.oof_matrix(fu.long_predictions(res, "oof"), names)
+    tst = fu.oof_matrix(fu.long_predictions(res, "test"), names)
+    stacked = fu.stack_model(oof, tst, names, train.select("log_id", "label"))
+    return stacked.test.withColumnRenamed("p", "pctr")
+
+
+# Deterministic stand-in predictions: learner L, fold i -> (column mod 97 + i) / 100, so fusion
+# arithmetic is checkable in SQL.
+def _pseudo_long(spark, sf, split):
+    a = smp.kfold_hash(analog.ads(spark, sf), 5)
+    src = a.where(f"istest = {split}")
+    parts = []
+    for name, c in PSEUDO_SCORES.items():
+        for i in range(5):
+            p = ((F.pmod(F.floor(F.col(c)).cast("long"), F.lit(97)) + i) / 100.0)
+            sel = src.where(F.col("fold") == i) if split == 0 else src
+            parts.append(sel.select("log_id", F.lit(name).alias("learner"), F.lit(i).alias("fold"), p.alias("p")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _pseudo_sql(split: int) -> str:
+    parts = []
+    for name, c in PSEUDO_SCORES.items():
+        for i in range(5):
+            cond = f"istest = 1" if split == 1 else f"istest = 0 AND {FOLD_SQL} = {i}"
+            parts.append(f"SELECT log_id, '{name}' AS learner, {i} AS fold, "
+                         f"(CAST(floor({c}) AS BIGINT) % 97 + {i}) / 100.0 AS p FROM ads WHERE {cond}")
+    return " UNION ALL ".join(parts)
+
+
+@register("fusion_avgprob", f"SELECT log_id, round(avg(p), 6) AS pctr FROM ({_pseudo_sql(1)}) GROUP BY log_id")
+def q_fusion_avgprob(spark, sf):
+    return round_doubles(fu.average_probability(_pseudo_long(spark, sf, 1)))
+
+
+@register("oof_matrix", "SELECT log_id, " + ", ".join(
+    f"round(max(CASE WHEN learner = '{n}' THEN p END), 6) AS {n}" for n in PSEUDO_SCORES)
+    + f" FROM ({_pseudo_sql(0)}) GROUP BY log_id")
+def q_oof_matrix(spark, sf):
+    return round_doubles(fu.oof_matrix(_pseudo_long(spark, sf, 0), list(PSEUDO_SCORES)))
+
+
+@register("stack_columns", "SELECT log_id, " + ", ".join(
+    f"round(max(CASE WHEN learner = '{n}' THEN p END), 6) AS {n}" for n in PSEUDO_SCORES)
+    + f" FROM ({_pseudo_sql(0)}) GROUP BY log_id")
+def q_stack_columns(spark, sf):
+    long = _pseudo_long(spark, sf, 0)
+    vecs = {n: long.where(F.col("learner") == n).select("log_id", "p") for n in PSEUDO_SCORES}
+    return round_doubles(fu.stack_columns(vecs))

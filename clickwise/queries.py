@@ -28,9 +28,10 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-def round_doubles(df: DataFrame, digits: int = 6, skip=()) -> DataFrame:
+def round_doubles(df: DataFrame, digits: int = 6, skip=(), only=None) -> DataFrame:
     return df.select(*[F.round(F.col(f.name), digits).alias(f.name)
                        if isinstance(f.dataType, (T.DoubleType, T.FloatType)) and f.name not in skip
+                       and (only is None or f.name in only)
                        else F.col(f.name)
                        for f in df.schema.fields])
 
