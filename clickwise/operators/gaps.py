@@ -50,75 +50,26 @@ def feature_names(keys: list[str], gaps=GAPS, leaky: bool = True) -> list[str]:
     return out
 
 
-def _keys_not_null(keys: list[str]) -> Column:
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & F.col(k).isNotNull()
-    return cond
+def _q(c: str) -> str:
+    return f"`{c}`"
 
 
-def _dcol(n: str, k: int) -> str:
-    return f"_d_{n}_{'m' if k < 0 else 'p'}{abs(k)}"
-
-
-def neighbor_dates(df: DataFrame, keys: list[str], order_col: str, date_col: str,
-                   max_shift: int = MAX_SHIFT) -> DataFrame:
-    """Add ``d(k)`` for ``k`` in ``[-max_shift, max_shift] \\ {0}`` as columns ``_d_{n}_{m|p}{|k|}``."""
-    n = gap_name(keys)
-    w = Window.partitionBy(*keys).orderBy(order_col)
-    cols = {}
-    for k in range(1, max_shift + 1):
-        cols[_dcol(n, k)] = F.lead(date_col, k).over(w)
-        cols[_dcol(n, -k)] = F.lag(date_col, k).over(w)
-    return df.withColumns(cols)
-
-
-def _first_order(n: str, date_col: str, gaps) -> dict[str, Column]:
-    d = lambda k: F.col(date_col) if k == 0 else F.col(_dcol(n, k))
-    cols = {}
-    for g in gaps:
-        cols[f"ts_{n}_{g}_diff_next"] = d(g) - d(0)
-        cols[f"ts_{n}_{g}_diff_last"] = d(0) - d(-g)
-    return cols
-
-
-def _second_order(n: str, date_col: str, gaps) -> dict[str, Column]:
-    d = lambda k: F.col(date_col) if k == 0 else F.col(_dcol(n, k))
-    cols = {}
-    for g in gaps:
-        cols[f"ts_s_next_{n}_{g}_next_1"] = (d(g + 1) - d(g)) - (d(1) - d(0))
-        cols[f"ts_s_next_{n}_{g}_last_1"] = (d(1) - d(0)) - (d(1 - g) - d(-g))
-    for g in gaps:
-        cols[f"ts_s_last_{n}_{g}_next_1"] = (d(g) - d(g - 1)) - (d(0) - d(-1))
-        cols[f"ts_s_last_{n}_{g}_last_1"] = (d(0) - d(-1)) - (d(-g) - d(-g - 1))
-    return cols
-
-
-def _group_stats(n: str, keys: list[str], order_col: str, gaps, leaky: bool) -> dict[str, Column]:
+def _group_stats(n: str, keys: list[str], order_col: str, gaps, leaky: bool) -> dict[str, str]:
+    part = ", ".join(_q(k) for k in keys)
     if leaky:
-        u = Window.partitionBy(*keys)
+        u = f"(PARTITION BY {part})"
         dirs = ("next", "last")
     else:
-        u = Window.partitionBy(*keys).orderBy(order_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        u = f"(PARTITION BY {part} ORDER BY {_q(order_col)} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
         dirs = ("last",)
     cols = {}
     for g in gaps:
         for f in dirs:
-            x = F.col(f"ts_{n}_{g}_diff_{f}")
-            cols[f"ts_{n}_{g}_diff_{f}_count"] = F.count(x).over(u)
-            cols[f"ts_{n}_{g}_diff_{f}_mean"] = F.avg(x).over(u)
-            cols[f"ts_{n}_{g}_diff_{f}_max"] = F.max(x).over(u)
-            cols[f"ts_{n}_{g}_diff_{f}_min"] = F.min(x).over(u)
-    return cols
-
-
-def _neighbor_cols(keys: list[str], order_col: str, date_col: str, max_shift: int = MAX_SHIFT) -> dict:
-    n = gap_name(keys)
-    w = Window.partitionBy(*keys).orderBy(order_col)
-    cols = {}
-    for k in range(1, max_shift + 1):
-        cols[_dcol(n, k)] = F.lead(date_col, k).over(w)
-        cols[_dcol(n, -k)] = F.lag(date_col, k).over(w)
+            x = _q(f"ts_{n}_{g}_diff_{f}")
+            cols[f"ts_{n}_{g}_diff_{f}_count"] = f"count({x}) OVER {u}"
+            cols[f"ts_{n}_{g}_diff_{f}_mean"] = f"avg({x}) OVER {u}"
+            cols[f"ts_{n}_{g}_diff_{f}_max"] = f"max({x}) OVER {u}"
+            cols[f"ts_{n}_{g}_diff_{f}_min"] = f"min({x}) OVER {u}"
     return cols
 
 
@@ -126,27 +77,56 @@ def _family(df: DataFrame, key_sets: list[list[str]], order_col: str, date_col:
             hot_threshold: int | None) -> DataFrame:
     """Features of key sets sharing a leading key.
 
-    Per key set: neighbours (window ordered by the ordinal), first-order gaps (projection), group
-    statistics (window over the same partition, so the sort of the first window serves it). One sort
-    per key set; the family shares one exchange.
+    Per key set two projections: (1) first- and second-order gaps, written directly over ``lead``/
+    ``lag`` of one window ordered by the ordinal; (2) group statistics of the first-order gaps over
+    the same partition, which the sort of (1) already serves. One sort per key set; the family shares
+    one exchange. Expressions are SQL text (one parse each), which keeps plan building cheap for the
+    hundreds of columns.
     """
-    keep = list(df.columns)
-    names = [c for ks in key_sets for c in feature_names(ks, gaps, leaky)]
-    second = {}
     for ks in key_sets:
         n = gap_name(ks)
-        df = _with_neighbors(df, [ks], _neighbor_cols(ks, order_col, date_col), order_col, date_col, hot_threshold)
-        df = df.withColumns(_first_order(n, date_col, gaps))
-        df = _with_stats(df, [ks], _group_stats(n, ks, order_col, gaps, leaky), order_col, gaps, leaky,
-                         hot_threshold)
-        second.update(_second_order(n, date_col, gaps))
-    df = df.withColumns(second)
-    # pandas gives NaN for every shift/transform of a row whose key is null
-    masked = []
-    for ks in key_sets:
-        ok = _keys_not_null(ks)
-        masked += [F.when(ok, F.col(c)).alias(c) for c in feature_names(ks, gaps, leaky)]
-    return df.select(*[c for c in keep if c not in names], *masked)
+        ok = " AND ".join(f"{_q(k)} IS NOT NULL" for k in ks)
+        d = _shift_exprs(ks, order_col, date_col)
+        first = _first_order_d(n, d, gaps)
+        second = _second_order_d(n, d, gaps)
+        names = feature_names(ks, gaps, leaky)
+        exprs = {c: e for c, e in {**first, **second}.items() if c in names or c in first}
+        masked = {c: F.expr(f"CASE WHEN {ok} THEN {e} END") for c, e in exprs.items()}
+        df = _with_shifts(df, ks, masked, order_col, date_col, hot_threshold)
+        stats = {c: F.expr(f"CASE WHEN {ok} THEN {e} END")
+                 for c, e in _group_stats(n, ks, order_col, gaps, leaky).items()}
+        df = _with_stats(df, [ks], stats, order_col, gaps, leaky, hot_threshold)
+        if not leaky:
+            df = df.drop(*[c for c in first if c not in names])
+    return df
+
+
+def _shift_exprs(keys: list[str], order_col: str, date_col: str, max_shift: int = MAX_SHIFT):
+    w = f"(PARTITION BY {', '.join(_q(k) for k in keys)} ORDER BY {_q(order_col)})"
+    cache = {0: _q(date_col)}
+    for k in range(1, max_shift + 1):
+        cache[k] = f"lead({_q(date_col)}, {k}) OVER {w}"
+        cache[-k] = f"lag({_q(date_col)}, {k}) OVER {w}"
+    return lambda k: cache[k]
+
+
+def _first_order_d(n: str, d, gaps) -> dict[str, str]:
+    cols = {}
+    for g in gaps:
+        cols[f"ts_{n}_{g}_diff_next"] = f"{d(g)} - {d(0)}"
+        cols[f"ts_{n}_{g}_diff_last"] = f"{d(0)} - {d(-g)}"
+    return cols
+
+
+def _second_order_d(n: str, d, gaps) -> dict[str, str]:
+    cols = {}
+    for g in gaps:
+        cols[f"ts_s_next_{n}_{g}_next_1"] = f"({d(g + 1)} - {d(g)}) - ({d(1)} - {d(0)})"
+        cols[f"ts_s_next_{n}_{g}_last_1"] = f"({d(1)} - {d(0)}) - ({d(1 - g)} - {d(-g)})"
+    for g in gaps:
+        cols[f"ts_s_last_{n}_{g}_next_1"] = f"({d(g)} - {d(g - 1)}) - ({d(0)} - {d(-1)})"
+        cols[f"ts_s_last_{n}_{g}_last_1"] = f"({d(0)} - {d(-1)}) - ({d(-g)} - {d(-g - 1)})"
+    return cols
 
 
 def gap_features_one(df: DataFrame, keys: list[str], order_col: str = "ro", date_col: str = "date",
@@ -177,7 +157,7 @@ def gap_features(df: DataFrame, key_sets: list[list[str]], order_col: str = "ro"
 # --------------------------------------------------------------------------- plain / split paths
 
 
-def _with_neighbors(df, key_sets, cols, order_col, date_col, hot_threshold):
+def _with_shifts(df, keys, cols, order_col, date_col, hot_threshold):
     return df.withColumns(cols)
 
 
