@@ -12,7 +12,7 @@ All of it is window expressions over one sort per key set. Key sets are processe
 first: a hash partitioning on ``user_id`` satisfies every ``(user_id, x)`` clustering, so the nine
 user-prefixed key sets share one exchange (and the one of the preceding join on ``user_id``).
 
-Groups larger than ``hot_threshold`` rows are split: see :func:`neighbor_dates`.
+Groups larger than ``hot_threshold`` rows are split into bounded ordinal ranges: see :func:`_family`.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickwise.operators.skew import DEFAULT_HOT_THRESHOLD
+from clickwise.operators.skew import DEFAULT_HOT_THRESHOLD, hot_keys
 
 GAPS = (1, 2, 3)
 MAX_SHIFT = 4  # d(-4..4) covers every closed form for gaps 1..3
@@ -73,9 +73,9 @@ def _group_stats(n: str, keys: list[str], order_col: str, gaps, leaky: bool) ->
     return cols
 
 
-def _family(df: DataFrame, key_sets: list[list[str]], order_col: str, date_col: str, gaps, leaky: bool,
-            hot_threshold: int | None) -> DataFrame:
-    """Features of key sets sharing a leading key.
+def _family_plain(df: DataFrame, key_sets: list[list[str]], order_col: str, date_col: str, gaps,
+                  leaky: bool) -> DataFrame:
+    """Features of key sets sharing a leading key (every group fits one task).
 
     Per key set two projections: (1) first- and second-order gaps, written directly over ``lead``/
     ``lag`` of one window ordered by the ordinal; (2) group statistics of the first-order gaps over
@@ -92,10 +92,10 @@ def _family(df: DataFrame, key_sets: list[list[str]], order_col: str, date_col:
         names = feature_names(ks, gaps, leaky)
         exprs = {c: e for c, e in {**first, **second}.items() if c in names or c in first}
         masked = {c: F.expr(f"CASE WHEN {ok} THEN {e} END") for c, e in exprs.items()}
-        df = _with_shifts(df, ks, masked, order_col, date_col, hot_threshold)
+        df = df.withColumns(masked)
         stats = {c: F.expr(f"CASE WHEN {ok} THEN {e} END")
                  for c, e in _group_stats(n, ks, order_col, gaps, leaky).items()}
-        df = _with_stats(df, [ks], stats, order_col, gaps, leaky, hot_threshold)
+        df = df.withColumns(stats)
         if not leaky:
             df = df.drop(*[c for c in first if c not in names])
     return df
@@ -154,12 +154,91 @@ def gap_features(df: DataFrame, key_sets: list[list[str]], order_col: str = "ro"
     return df.select(*out)
 
 
-# --------------------------------------------------------------------------- plain / split paths
+# --------------------------------------------------------------------------- hot groups
 
 
-def _with_shifts(df, keys, cols, order_col, date_col, hot_threshold):
-    return df.withColumns(cols)
+def _family(df: DataFrame, key_sets: list[list[str]], order_col: str, date_col: str, gaps, leaky: bool,
+            hot_threshold: int | None) -> DataFrame:
+    """Route a family: groups of the leading key above ``hot_threshold`` rows take the split path,
+    all other rows the plain windows. Hot keys are at most ``N / hot_threshold``, so their table is
+    brought to the driver and broadcast with a proven bound. Without hot keys the plan is the plain
+    one. (Running, non-leaky statistics are not split.)"""
+    lead = key_sets[0][0]
+    if hot_threshold is None or not leaky:
+        return _family_plain(df, key_sets, order_col, date_col, gaps, leaky)
+    hot = hot_keys(df, [lead], hot_threshold, order_col)
+    rows = hot.collect()
+    if not rows:
+        return _family_plain(df, key_sets, order_col, date_col, gaps, leaky)
+    hot_small = df.sparkSession.createDataFrame(rows, hot.schema)
+    cold = df.join(F.broadcast(hot_small.select(lead)), lead, "left_anti")
+    cold_out = _family_plain(cold, key_sets, order_col, date_col, gaps, leaky)
+    hot_rows = df.join(F.broadcast(hot_small), lead, "inner")
+    hot_out = _family_hot(hot_rows, key_sets, order_col, date_col, gaps, hot_threshold)
+    return cold_out.unionByName(hot_out.select(*cold_out.columns))
+
+
+def _family_hot(h: DataFrame, key_sets: list[list[str]], order_col: str, date_col: str, gaps,
+                threshold: int) -> DataFrame:
+    """Gap features for rows of hot leading keys.
+
+    Each hot key's rows are cut into ordinal ranges (``_sb``) of about ``threshold`` rows, so every
+    window partition ``(keys, _sb)`` is bounded. Shifts that cross a range edge come from a second
+    window over the *edge rows* only (at most 4 first and 4 last rows per range, so that window is
+    bounded by ``8 × ranges`` per group); group statistics are aggregated per group (map-side
+    combined) and joined back on ``(keys, _sb)``, so no join key is hot either. Results are narrow
+    ``(ordinal, features)`` tables joined to the hot rows on the unique ordinal.
+    """
+    nb = F.ceil(F.col("_n") / F.lit(threshold))
+    span = F.col("_omax") - F.col("_omin") + 1
+    sb = F.floor((F.col(order_col) - F.col("_omin")).cast("double") * nb / span).cast("long")
+    h = h.withColumn("_sb", sb).drop("_n", "_omin", "_omax")
+    keys = list(dict.fromkeys(k for ks in key_sets for k in ks))
+    narrow = h.select(order_col, date_col, "_sb", *keys)
+    out = h.drop("_sb")
+    for ks in key_sets:
+        out = out.join(_hot_keyset(narrow, ks, order_col, date_col, gaps), order_col, "left")
+    return out
 
 
-def _with_stats(df, key_sets, cols, order_col, gaps, leaky, hot_threshold):
-    return df.withColumns(cols)
+def _hot_keyset(narrow: DataFrame, ks: list[str], order_col: str, date_col: str, gaps) -> DataFrame:
+    n = gap_name(ks)
+    part = ", ".join(_q(k) for k in ks + ["_sb"])
+    w = f"(PARTITION BY {part} ORDER BY {_q(order_col)})"
+    shifts = {"_rn": F.expr(f"row_number() OVER {w}"), "_cnt": F.expr(f"count(1) OVER (PARTITION BY {part})")}
+    for k in range(1, MAX_SHIFT + 1):
+        shifts[f"_b{k}"] = F.expr(f"lead({_q(date_col)}, {k}) OVER {w}")
+        shifts[f"_b_{k}"] = F.expr(f"lag({_q(date_col)}, {k}) OVER {w}")
+    b = narrow.select(*ks, "_sb", order_col, date_col).withColumns(shifts)
+    edge = b.where((F.col("_rn") <= MAX_SHIFT) | (F.col("_rn") > F.col("_cnt") - MAX_SHIFT)) \
+        .select(*ks, order_col, date_col)
+    ew = f"(PARTITION BY {', '.join(_q(k) for k in ks)} ORDER BY {_q(order_col)})"
+    e = edge.select(order_col, *[F.expr(f"{fn}({_q(date_col)}, {k}) OVER {ew}").alias(f"_e{'' if fn == 'lead' else '_'}{k}")
+                                 for k in range(1, MAX_SHIFT + 1) for fn in ("lead", "lag")])
+    fixed = b.join(e, order_col, "left")
+
+    def d(k: int) -> str:
+        if k == 0:
+            return _q(date_col)
+        tag = f"{k}" if k > 0 else f"_{-k}"
+        cross = f"_rn + {k} > _cnt" if k > 0 else f"_rn + {k} < 1"
+        return f"(CASE WHEN {cross} THEN _e{tag} ELSE _b{tag} END)"
+
+    first = _first_order_d(n, d, gaps)
+    second = _second_order_d(n, d, gaps)
+    f = fixed.select(*ks, "_sb", order_col, *[F.expr(e).alias(c) for c, e in {**first, **second}.items()])
+    aggs = []
+    for c in first:
+        aggs += [F.count(c).alias(f"{c}_count"), F.sum(c).alias(f"{c}__sum"), F.max(c).alias(f"{c}_max"),
+                 F.min(c).alias(f"{c}_min")]
+    stats = f.groupBy(*ks).agg(*aggs)
+    ranges = f.select(*ks, "_sb").distinct()
+    st = ranges.join(stats, ks, "inner")  # one row per (group, range)
+    res = f.join(st, ks + ["_sb"], "left")
+    ok = " AND ".join(f"{_q(k)} IS NOT NULL" for k in ks)
+    cols = {}
+    for c in first:
+        cols[f"{c}_mean"] = F.col(f"{c}__sum") / F.col(f"{c}_count")
+    res = res.withColumns(cols)
+    names = feature_names(ks, gaps, True)
+    return res.select(order_col, *[F.expr(f"CASE WHEN {ok} THEN {_q(c)} END").alias(c) for c in names])
