@@ -95,15 +95,29 @@ def user_features(feeds: DataFrame, nunique_cols: list[str] | None = None, mean_
     return nuni.join(mean, key, "inner").withColumnRenamed(key, out_key)
 
 
-def join_user_features(ads: DataFrame, features: DataFrame, key: str = "user_id") -> DataFrame:
+def join_user_features(ads: DataFrame, features: DataFrame, key: str = "user_id",
+                       hot_threshold: int | None = None, hot_users: list | None = None) -> DataFrame:
     """Left join of the per-user features onto the impressions.
 
-    The feature side has one row per user. The strategy is left to the planner: AQE turns the
-    sort-merge join into a broadcast join only when the *measured* size of the aggregated side is
-    under ``spark.sql.adaptive.autoBroadcastJoinThreshold``, and splits a hot user's partition on the
-    impression side (skew join) otherwise.
+    The feature side has one row per user. For ordinary users the strategy is left to the planner:
+    AQE turns the sort-merge join into a broadcast join only when the *measured* size of the
+    aggregated side is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``.
+
+    With ``hot_threshold``, users with more impressions than that (at most ``N / hot_threshold`` of
+    them, collected as a bounded list) are joined separately: their feature rows, bounded by the
+    number of hot users, are broadcast, so a user holding a third of all impressions never lands in
+    one join task. ``hot_users`` (rows with the key) skips the lookup when already known.
     """
-    return ads.join(features, key, "left")
+    if hot_threshold is None and hot_users is None:
+        return ads.join(features, key, "left")
+    hot = hot_users if hot_users is not None else collect_hot_keys(ads, [key], hot_threshold)
+    if not hot:
+        return ads.join(features, key, "left")
+    hot_ids = ads.sparkSession.createDataFrame([(r[key],) for r in hot], ads.select(key).schema)
+    cold = ads.join(F.broadcast(hot_ids), key, "left_anti").join(features, key, "left")
+    hot_feats = features.join(F.broadcast(hot_ids), key, "left_semi")
+    hot_rows = ads.join(F.broadcast(hot_ids), key, "left_semi").join(F.broadcast(hot_feats), key, "left")
+    return cold.unionByName(hot_rows)
 
 
 def crossdomain_features(ads: DataFrame, feeds: DataFrame, nunique_cols: list[str] | None = None,
@@ -111,4 +125,4 @@ def crossdomain_features(ads: DataFrame, feeds: DataFrame, nunique_cols: list[st
                          ads_key: str = "user_id", method: str = "auto",
                          hot_threshold: int = DEFAULT_HOT_THRESHOLD) -> DataFrame:
     feats = user_features(feeds, nunique_cols, mean_cols, feeds_key, ads_key, method, hot_threshold)
-    return join_user_features(ads, feats, ads_key)
+    return join_user_features(ads, feats, ads_key, hot_threshold)

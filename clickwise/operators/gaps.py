@@ -136,12 +136,14 @@ def gap_features_one(df: DataFrame, keys: list[str], order_col: str = "ro", date
 
 
 def gap_features(df: DataFrame, key_sets: list[list[str]], order_col: str = "ro", date_col: str = "date",
-                 gaps=GAPS, leaky: bool = True, hot_threshold: int | None = DEFAULT_HOT_THRESHOLD) -> DataFrame:
+                 gaps=GAPS, leaky: bool = True, hot_threshold: int | None = DEFAULT_HOT_THRESHOLD,
+                 hot: dict | None = None) -> DataFrame:
     """Append the gap features of every key set.
 
     Key sets sharing a leading key form a family; a hash partitioning on the leading key serves every
     window of the family, so there is one exchange per family. Smaller families run first so that the
     exchanges move rows that are still narrow. The output column order follows ``key_sets``.
+    ``hot`` is the output of :func:`find_hot` (computed here when not given).
     """
     leads = list(dict.fromkeys(ks[0] for ks in key_sets))
     families = [sorted([ks for ks in key_sets if ks[0] == lead], key=len) for lead in leads]
@@ -149,7 +151,7 @@ def gap_features(df: DataFrame, key_sets: list[list[str]], order_col: str = "ro"
     families.sort(key=len)
     base_cols = list(df.columns)
     for fam in families:
-        df = _family(df, fam, order_col, date_col, gaps, leaky, hot_threshold)
+        df = _family(df, fam, order_col, date_col, gaps, leaky, hot_threshold, hot)
     out = base_cols + [c for ks in key_sets for c in feature_names(ks, gaps, leaky)]
     return df.select(*out)
 
@@ -157,8 +159,20 @@ def gap_features(df: DataFrame, key_sets: list[list[str]], order_col: str = "ro"
 # --------------------------------------------------------------------------- hot groups
 
 
+def find_hot(df: DataFrame, key_sets: list[list[str]], order_col: str = "ro",
+             hot_threshold: int = DEFAULT_HOT_THRESHOLD) -> dict:
+    """Hot keys of every leading key, as bounded driver-side lists. Run it on the *input* table (a
+    scan) and pass the result on, so later steps do not recompute their upstream plan to count."""
+    leads = list(dict.fromkeys(ks[0] for ks in key_sets))
+    out = {}
+    for lead in leads:
+        t = hot_keys(df, [lead], hot_threshold, order_col)
+        out[lead] = (t.schema, t.collect())
+    return out
+
+
 def _family(df: DataFrame, key_sets: list[list[str]], order_col: str, date_col: str, gaps, leaky: bool,
-            hot_threshold: int | None) -> DataFrame:
+            hot_threshold: int | None, hot: dict | None = None) -> DataFrame:
     """Route a family: groups of the leading key above ``hot_threshold`` rows take the split path,
     all other rows the plain windows. Hot keys are at most ``N / hot_threshold``, so their table is
     brought to the driver and broadcast with a proven bound. Without hot keys the plan is the plain
@@ -166,11 +180,14 @@ def _family(df: DataFrame, key_sets: list[list[str]], order_col: str, date_col:
     lead = key_sets[0][0]
     if hot_threshold is None or not leaky:
         return _family_plain(df, key_sets, order_col, date_col, gaps, leaky)
-    hot = hot_keys(df, [lead], hot_threshold, order_col)
-    rows = hot.collect()
+    if hot is not None and lead in hot:
+        schema, rows = hot[lead]
+    else:
+        t = hot_keys(df, [lead], hot_threshold, order_col)
+        schema, rows = t.schema, t.collect()
     if not rows:
         return _family_plain(df, key_sets, order_col, date_col, gaps, leaky)
-    hot_small = df.sparkSession.createDataFrame(rows, hot.schema)
+    hot_small = df.sparkSession.createDataFrame(rows, schema)
     cold = df.join(F.broadcast(hot_small.select(lead)), lead, "left_anti")
     cold_out = _family_plain(cold, key_sets, order_col, date_col, gaps, leaky)
     hot_rows = df.join(F.broadcast(hot_small), lead, "inner")

@@ -32,3 +32,18 @@ def test_nunique_methods_agree(spark):
     cols = ["l_partkey", "l_quantity", "l_returnflag", "e_et"]
     _same(xd.user_nunique(feeds, cols, method="set"), xd.user_nunique(feeds, cols, method="dedup"))
     assert xd.user_nunique(feeds, cols, method="auto", hot_threshold=5).count() == feeds.select("u_userId").distinct().count()
+
+
+def test_join_with_hot_users_equals_plain(spark):
+    ads = analog.ads(spark, SF_SMALL).select("log_id", "user_id")
+    feeds = analog.feeds(spark, SF_SMALL)
+    plain = xd.crossdomain_features(ads, feeds, ["l_partkey"], ["l_quantity"], hot_threshold=None)
+    split = xd.crossdomain_features(ads, feeds, ["l_partkey"], ["l_quantity"], hot_threshold=60)
+    _same(plain, split)
+
+
+def test_feature_table_with_hot_keys_equals_plain(spark):
+    from clickwise.plans.catalog import ctr_feature_frame
+    plain = ctr_feature_frame(spark, SF_SMALL, hot_threshold=10**9)
+    split = ctr_feature_frame(spark, SF_SMALL, hot_threshold=50)
+    _same(plain, split)
