@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickwise.operators.skew import DEFAULT_HOT_THRESHOLD, hot_keys
+from clickwise.session import cut_lineage
 
 GAPS = (1, 2, 3)
 MAX_SHIFT = 4  # d(-4..4) covers every closed form for gaps 1..3
@@ -188,6 +189,8 @@ def _family(df: DataFrame, key_sets: list[list[str]], order_col: str, date_col:
     if not rows:
         return _family_plain(df, key_sets, order_col, date_col, gaps, leaky)
     hot_small = df.sparkSession.createDataFrame(rows, schema)
+    # both routes read the input: materialise it once (reliable checkpoint, not recomputed per route)
+    df = cut_lineage(df)
     cold = df.join(F.broadcast(hot_small.select(lead)), lead, "left_anti")
     cold_out = _family_plain(cold, key_sets, order_col, date_col, gaps, leaky)
     hot_rows = df.join(F.broadcast(hot_small), lead, "inner")
@@ -211,7 +214,8 @@ def _family_hot(h: DataFrame, key_sets: list[list[str]], order_col: str, date_co
     sb = F.floor((F.col(order_col) - F.col("_omin")).cast("double") * nb / span).cast("long")
     h = h.withColumn("_sb", sb).drop("_n", "_omin", "_omax")
     keys = list(dict.fromkeys(k for ks in key_sets for k in ks))
-    narrow = h.select(order_col, date_col, "_sb", *keys)
+    # every key set branches from these narrow rows: materialise them once
+    narrow = cut_lineage(h.select(order_col, date_col, "_sb", *keys))
     out = h.drop("_sb")
     for ks in key_sets:
         out = out.join(_hot_keyset(narrow, ks, order_col, date_col, gaps), order_col, "left")
