@@ -1 +1 @@
-"""clickwise: Spark-native click-prediction features and scoring."""
+"""Streaming: the reference has no streaming operators, so nothing is built here (see README)."""
