@@ -614,6 +614,7 @@ from clickwise.plans import models as md  # noqa: E402
 MODEL_COLS = ["adv_id", "task_id", "creat_type_cd", "slot_id", "app_score", "ts_user_id_1_diff_last",
               "ts_user_id_1_diff_next", "l_quantity_feeds_mean"]
 MODEL_ROUNDS = 8  # kept small: the queries check the plumbing, the bench times it
+FOLD_PARALLELISM = 5  # fold fits are independent jobs; submit them together
 
 
 def _model_frames(spark, sf, missing="sentinel"):
@@ -637,7 +638,7 @@ def q_lr_baseline(spark, sf):
 
 def _cv(spark, sf, learner):
     train, test, feats = _model_frames(spark, sf)
-    return md.cv_model(learner, train, test, feats)
+    return md.cv_model(learner, train, test, feats, parallelism=FOLD_PARALLELISM)
 
 
 @register("gbt_cat")
@@ -682,7 +683,7 @@ def q_cv_fold_scores(spark, sf):
 def q_fusion_stacking(spark, sf):
     train, test, feats = _model_frames(spark, sf)
     learners = [md.gbt_lgb(MODEL_ROUNDS), md.gbt_xgb(MODEL_ROUNDS), md.gbt_cat(MODEL_ROUNDS)]
-    res = fu.run_learners(learners, train, test, feats)
+    res = fu.run_learners(learners, train, test, feats, parallelism=FOLD_PARALLELISM)
     names = list(res)
     oof = fu.oof_matrix(fu.long_predictions(res, "oof"), names)
     tst = fu.oof_matrix(fu.long_predictions(res, "test"), names)

@@ -23,6 +23,11 @@ SESSION_DEFAULTS = {
 }
 
 
+# Generated code for wide rows (hundreds of feature columns) produces methods above HotSpot's
+# huge-method limit, which are then never JIT-compiled; let the JIT compile them.
+JIT_OPTIONS = "-XX:-DontCompileHugeMethods"
+
+
 def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "clickwise") -> SparkSession:
     """A local session for tests and the bench (the UI stays off: no server is started)."""
     builder = (
@@ -31,6 +36,8 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "click
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
+        .config("spark.driver.extraJavaOptions", JIT_OPTIONS)
+        .config("spark.executor.extraJavaOptions", JIT_OPTIONS)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
     for k, v in SESSION_DEFAULTS.items():
