@@ -13,8 +13,8 @@ Distinct counts have two exact plans:
   so a hot user is spread over all tasks), then count per user with map-side combine. Never holds
   a group in one task.
 
-``"auto"`` (default) looks up users with more than ``hot_threshold`` feed rows (a table bounded by
-``N / hot_threshold`` rows) and takes ``"set"`` when there are none, ``"dedup"`` otherwise.
+``"auto"`` (default) asks whether any user has more than ``SET_MAX_ROWS`` feed rows (one partial
+aggregation, one row brought back) and takes ``"set"`` when none does, ``"dedup"`` otherwise.
 """
 
 from __future__ import annotations
@@ -23,9 +23,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickwise.operators.skew import DEFAULT_HOT_THRESHOLD, collect_hot_keys
+from clickwise.operators.skew import DEFAULT_HOT_THRESHOLD, collect_hot_keys, hot_keys
 
 NUNI_SUFFIX = "_feeds_nuni"
+SET_MAX_ROWS = 100_000  # largest per-user row count for which a per-user value set is kept in memory
 MEAN_SUFFIX = "_feeds_mean"
 
 # Columns the reference leaves out of each feature kind (by name, in the real feed log).
@@ -60,7 +61,9 @@ def user_nunique(feeds: DataFrame, cols: list[str] | None = None, key: str = "u_
     cols = cols if cols is not None else default_nunique_columns(feeds, key)
     src = feeds.where(F.col(key).isNotNull())
     if method == "auto":
-        method = "dedup" if collect_hot_keys(src, [key], hot_threshold) else "set"
+        # sets are held per user: take them only when no user has more than SET_MAX_ROWS rows
+        big = hot_keys(src, [key], min(hot_threshold, SET_MAX_ROWS)).take(1)
+        method = "dedup" if big else "set"
     if method == "set":
         return src.groupBy(key).agg(
             *[F.size(F.collect_set(c)).cast("long").alias(c + NUNI_SUFFIX) for c in cols])

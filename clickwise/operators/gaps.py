@@ -55,13 +55,18 @@ def _q(c: str) -> str:
     return f"`{c}`"
 
 
+def _order_sql(order_col) -> str:
+    """``ORDER BY`` list: one column name or a list of them (a total order)."""
+    return ", ".join(_q(c) for c in ([order_col] if isinstance(order_col, str) else order_col))
+
+
 def _group_stats(n: str, keys: list[str], order_col: str, gaps, leaky: bool) -> dict[str, str]:
     part = ", ".join(_q(k) for k in keys)
     if leaky:
         u = f"(PARTITION BY {part})"
         dirs = ("next", "last")
     else:
-        u = f"(PARTITION BY {part} ORDER BY {_q(order_col)} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+        u = f"(PARTITION BY {part} ORDER BY {_order_sql(order_col)} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
         dirs = ("last",)
     cols = {}
     for g in gaps:
@@ -103,7 +108,7 @@ def _family_plain(df: DataFrame, key_sets: list[list[str]], order_col: str, date
 
 
 def _shift_exprs(keys: list[str], order_col: str, date_col: str, max_shift: int = MAX_SHIFT):
-    w = f"(PARTITION BY {', '.join(_q(k) for k in keys)} ORDER BY {_q(order_col)})"
+    w = f"(PARTITION BY {', '.join(_q(k) for k in keys)} ORDER BY {_order_sql(order_col)})"
     cache = {0: _q(date_col)}
     for k in range(1, max_shift + 1):
         cache[k] = f"lead({_q(date_col)}, {k}) OVER {w}"
@@ -136,11 +141,16 @@ def gap_features_one(df: DataFrame, keys: list[str], order_col: str = "ro", date
     return _family(df, [keys], order_col, date_col, gaps, leaky, hot_threshold)
 
 
-def gap_features(df: DataFrame, key_sets: list[list[str]], order_col: str = "ro", date_col: str = "date",
+def gap_features(df: DataFrame, key_sets: list[list[str]], order_col="ro", date_col: str = "date",
                  gaps=GAPS, leaky: bool = True, hot_threshold: int | None = DEFAULT_HOT_THRESHOLD,
                  hot: dict | None = None) -> DataFrame:
     """Append the gap features of every key set.
 
+    ``order_col`` is the row ordinal (reference semantics) or, e.g. with ``leaky=False``, a list of
+    columns giving a total time order such as ``["pt_d", "log_id"]``. ``leaky=False`` keeps only
+    features that look backwards: previous gaps, their running statistics, and the backward
+    second-order gaps.
+
     Key sets sharing a leading key form a family; a hash partitioning on the leading key serves every
     window of the family, so there is one exchange per family. Smaller families run first so that the
     exchanges move rows that are still narrow. The output column order follows ``key_sets``.
@@ -179,7 +189,7 @@ def _family(df: DataFrame, key_sets: list[list[str]], order_col: str, date_col:
     brought to the driver and broadcast with a proven bound. Without hot keys the plan is the plain
     one. (Running, non-leaky statistics are not split.)"""
     lead = key_sets[0][0]
-    if hot_threshold is None or not leaky:
+    if hot_threshold is None or not leaky or not isinstance(order_col, str):
         return _family_plain(df, key_sets, order_col, date_col, gaps, leaky)
     if hot is not None and lead in hot:
         schema, rows = hot[lead]

@@ -78,7 +78,7 @@ def q_crossdomain_features(spark, sf):
 
 from clickwise.functions import timeparts as tp  # noqa: E402
 from clickwise.operators import gaps as gp  # noqa: E402
-from clickwise.plans.gap_sql import gap_sql  # noqa: E402
+from clickwise.plans.gap_sql import PARTS_SQL, gap_sql  # noqa: E402
 
 
 def _gap_base(spark, sf):
@@ -737,3 +737,28 @@ def q_stack_columns(spark, sf):
     long = _pseudo_long(spark, sf, 0)
     vecs = {n: long.where(F.col("learner") == n).select("log_id", "p") for n in PSEUDO_SCORES}
     return round_doubles(fu.stack_columns(vecs))
+
+
+# ---------------------------------------------------------------- backward-only (non-leaky) gaps
+
+_NOLEAK_COLS = gp.feature_names(["user_id"], leaky=False)
+
+
+def _noleak_sql() -> str:
+    w = "(PARTITION BY user_id ORDER BY pt_d, log_id)"
+    r = "(PARTITION BY user_id ORDER BY pt_d, log_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    first = ", ".join(f"date - lag(date, {g}) OVER {w} AS ts_user_id_{g}_diff_last" for g in (1, 2, 3))
+    stats = ", ".join(f"{fn}(ts_user_id_{g}_diff_last) OVER {r} AS ts_user_id_{g}_diff_last_{nm}"
+                      for g in (1, 2, 3) for fn, nm in (("count", "count"), ("avg", "mean"), ("max", "max"),
+                                                       ("min", "min")))
+    second = ", ".join(f"ts_user_id_1_diff_last - lag(ts_user_id_1_diff_last, {g}) OVER {w} "
+                       f"AS ts_s_last_user_id_{g}_last_1" for g in (1, 2, 3))
+    return (f"WITH g0 AS ({PARTS_SQL}) SELECT log_id, {', '.join(_NOLEAK_COLS)} FROM "
+            f"(SELECT *, {stats}, {second} FROM (SELECT *, {first} FROM g0))")
+
+
+@register("gap_no_leak", _noleak_sql())
+def q_gap_no_leak(spark, sf):
+    base = _gap_base(spark, sf)
+    return gp.gap_features(base, [["user_id"]], order_col=["pt_d", "log_id"], leaky=False).select(
+        "log_id", *_NOLEAK_COLS)
