@@ -78,3 +78,22 @@ def test_nunique_treats_negative_zero_as_zero(spark):
     feeds = spark.createDataFrame([(1, 0.0), (1, -0.0)], "u_userId long, v double")
     for method in ("set", "dedup"):
         assert xd.user_nunique(feeds, ["v"], method=method).first()["v_feeds_nuni"] == 1
+
+
+def test_non_leaky_features_ignore_the_future(spark):
+    from clickwise.plans.catalog import ctr_feature_frame
+    from clickwise.plans.catalog import analog as an
+    from conftest import SF_SMALL
+    full = ctr_feature_frame(spark, SF_SMALL, leaky=False)
+    gap_cols = [c for c in full.columns if c.startswith("ts_")]
+    assert gap_cols and not any("diff_next" in c or c.startswith("ts_s_next") for c in gap_cols)
+    cut = full.agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY pt_d)")).first()[0]
+    # the same computation on the past only: features of past rows must not change
+    a = an.ads(spark, SF_SMALL).where(F.col("pt_d") <= cut)
+    from clickwise.plans import features as ft
+    from clickwise.plans.catalog import MEAN_COLS, NUNI_COLS
+    past = ft.feature_table(a, an.feeds(spark, SF_SMALL), an.LIST_COLUMNS, an.GAP_KEY_SETS, NUNI_COLS, MEAN_COLS,
+                            leaky=False)
+    x = full.where(F.col("pt_d") <= cut).select("log_id", *gap_cols)
+    y = past.select("log_id", *gap_cols)
+    assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0
