@@ -62,7 +62,8 @@ def user_nunique(feeds: DataFrame, cols: list[str] | None = None, key: str = "u_
     src = feeds.where(F.col(key).isNotNull())
     if method == "auto":
         # sets are held per user: take them only when no user has more than SET_MAX_ROWS rows
-        big = hot_keys(src, [key], min(hot_threshold, SET_MAX_ROWS)).take(1)
+        limit = SET_MAX_ROWS if hot_threshold is None else min(hot_threshold, SET_MAX_ROWS)
+        big = hot_keys(src, [key], limit).take(1)
         method = "dedup" if big else "set"
     if method == "set":
         return src.groupBy(key).agg(
