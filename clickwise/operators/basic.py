@@ -5,10 +5,11 @@ Grouped results drop null keys, as the reference's group-bys do.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickwise.operators.rank import global_rank
+from clickwise.operators.skew import DEFAULT_HOT_THRESHOLD, keyed_left_join
 
 DEFAULT_EXCLUDE = ["label", "istest", "log_id"]
 SPLIT_OFFSET = 1 << 40  # ordinal offset of the test part: train rows come first
@@ -74,23 +75,29 @@ def global_shift(df: DataFrame, value: str, order_cols: list[str], sort_key: Col
     return ranked.join(prev, "_pos", "left").drop("_pos")
 
 
-def group_diff(df: DataFrame, keys: list[str], order_col: str, value: str, out: str | None = None) -> DataFrame:
-    """``value - lag(value)`` within the group (pandas ``shift(0) - shift(1)``)."""
-    w = Window.partitionBy(*keys).orderBy(order_col)
-    ok = F.lit(True)
-    for k in keys:
-        ok = ok & F.col(k).isNotNull()
-    return df.withColumn(out or f"{value}_diff", F.when(ok, F.col(value) - F.lag(value, 1).over(w)))
+def group_diff(df: DataFrame, keys: list[str], order_col: str, value: str, out: str | None = None,
+               hot_threshold: int | None = DEFAULT_HOT_THRESHOLD) -> DataFrame:
+    """``value - lag(value)`` within the group (pandas ``shift(0) - shift(1)``).
+
+    This is the first backward gap of the gap-feature operator with ``value`` in place of the time,
+    so groups above ``hot_threshold`` rows take its split path; the other gap columns are never
+    referenced and are pruned from the plan.
+    """
+    from clickwise.operators.gaps import gap_features
+    n = "_".join(keys)
+    g = gap_features(df, [keys], order_col, value, gaps=(1,), hot_threshold=hot_threshold)
+    return g.select(*df.columns, F.col(f"ts_{n}_1_diff_last").alias(out or f"{value}_diff"))
 
 
-def group_size_broadcast(df: DataFrame, keys: list[str], value: str, out: str = "n") -> DataFrame:
+def group_size_broadcast(df: DataFrame, keys: list[str], value: str, out: str = "n",
+                         hot_threshold: int | None = DEFAULT_HOT_THRESHOLD) -> DataFrame:
     """Non-null count of ``value`` per group, on every row of the group (``transform('count')``).
 
     Computed as an aggregate joined back rather than a whole-group window: the aggregate is combined
-    map-side, and the join is one the planner can broadcast or split when a group is hot.
+    map-side, and the join sends hot groups through a bounded broadcast (:func:`keyed_left_join`).
     """
     ok = F.lit(True)
     for k in keys:
         ok = ok & F.col(k).isNotNull()
     counts = df.where(ok).groupBy(*keys).agg(F.count(value).alias(out))
-    return df.join(counts, keys, "left")
+    return keyed_left_join(df, counts, keys, hot_threshold)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickwise.operators.skew import DEFAULT_HOT_THRESHOLD, collect_hot_keys, hot_keys
+from clickwise.operators.skew import DEFAULT_HOT_THRESHOLD, hot_keys, keyed_left_join
 
 NUNI_SUFFIX = "_feeds_nuni"
 SET_MAX_ROWS = 100_000  # largest per-user row count for which a per-user value set is kept in memory
@@ -112,16 +112,7 @@ def join_user_features(ads: DataFrame, features: DataFrame, key: str = "user_id"
     number of hot users, are broadcast, so a user holding a third of all impressions never lands in
     one join task. ``hot_users`` (rows with the key) skips the lookup when already known.
     """
-    if hot_threshold is None and hot_users is None:
-        return ads.join(features, key, "left")
-    hot = hot_users if hot_users is not None else collect_hot_keys(ads, [key], hot_threshold)
-    if not hot:
-        return ads.join(features, key, "left")
-    hot_ids = ads.sparkSession.createDataFrame([(r[key],) for r in hot], ads.select(key).schema)
-    cold = ads.join(F.broadcast(hot_ids), key, "left_anti").join(features, key, "left")
-    hot_feats = features.join(F.broadcast(hot_ids), key, "left_semi")
-    hot_rows = ads.join(F.broadcast(hot_ids), key, "left_semi").join(F.broadcast(hot_feats), key, "left")
-    return cold.unionByName(hot_rows)
+    return keyed_left_join(ads, features, [key], hot_threshold, hot_users)
 
 
 def crossdomain_features(ads: DataFrame, feeds: DataFrame, nunique_cols: list[str] | None = None,

@@ -36,3 +36,25 @@ def _keys_not_null(keys: list[str]):
     for k in keys:
         cond = cond & F.col(k).isNotNull()
     return cond
+
+
+def keyed_left_join(big: DataFrame, per_key: DataFrame, keys: list[str], threshold: int | None = DEFAULT_HOT_THRESHOLD,
+                    hot_rows: list | None = None) -> DataFrame:
+    """Left join of a table with at most one row per key onto a large table, safe for hot keys.
+
+    Keys of ``big`` with more than ``threshold`` rows (at most ``N / threshold``; or the given
+    ``hot_rows``) are joined separately with a broadcast of just their ``per_key`` rows, so no join
+    task receives a hot key; all other keys use the planner's join (AQE may broadcast it when the
+    measured size of ``per_key`` is small).
+    """
+    if threshold is None and hot_rows is None:
+        return big.join(per_key, keys, "left")
+    hot = hot_rows if hot_rows is not None else collect_hot_keys(big, keys, threshold)
+    if not hot:
+        return big.join(per_key, keys, "left")
+    spark = big.sparkSession
+    hot_ids = spark.createDataFrame([tuple(r[k] for k in keys) for r in hot], big.select(*keys).schema)
+    cold = big.join(F.broadcast(hot_ids), keys, "left_anti").join(per_key, keys, "left")
+    hot_side = per_key.join(F.broadcast(hot_ids), keys, "left_semi")  # bounded by the hot-key count
+    hot_part = big.join(F.broadcast(hot_ids), keys, "left_semi").join(F.broadcast(hot_side), keys, "left")
+    return cold.unionByName(hot_part)

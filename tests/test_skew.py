@@ -47,3 +47,17 @@ def test_feature_table_with_hot_keys_equals_plain(spark):
     plain = ctr_feature_frame(spark, SF_SMALL, hot_threshold=10**9)
     split = ctr_feature_frame(spark, SF_SMALL, hot_threshold=50)
     _same(plain, split)
+
+
+def test_group_diff_hot_split_equals_plain(spark):
+    from clickwise.operators import basic
+    a = analog.ads(spark, SF_SMALL).select("log_id", "user_id", "ro", "app_score")
+    _same(basic.group_diff(a, ["user_id"], "ro", "app_score", hot_threshold=None),
+          basic.group_diff(a, ["user_id"], "ro", "app_score", hot_threshold=20))
+
+
+def test_group_size_broadcast_hot_split_equals_plain(spark):
+    from clickwise.operators import basic
+    a = analog.ads(spark, SF_SMALL).select("log_id", "adv_id", "app_score")
+    _same(basic.group_size_broadcast(a, ["adv_id"], "app_score", hot_threshold=None),
+          basic.group_size_broadcast(a, ["adv_id"], "app_score", hot_threshold=8))
