@@ -83,22 +83,31 @@ def _family_plain(df: DataFrame, key_sets: list[list[str]], order_col: str, date
                   leaky: bool) -> DataFrame:
     """Features of key sets sharing a leading key (every group fits one task).
 
-    Per key set two projections: (1) first- and second-order gaps, written directly over ``lead``/
-    ``lag`` of one window ordered by the ordinal; (2) group statistics of the first-order gaps over
-    the same partition, which the sort of (1) already serves. One sort per key set; the family shares
-    one exchange. Expressions are SQL text (one parse each), which keeps plan building cheap for the
-    hundreds of columns.
+    Per key set three projections: (1) the eight shifts ``d(±1..±4)`` from one window ordered by the
+    ordinal (each window function once); (2) first- and second-order gaps as plain arithmetic on
+    them; (3) group statistics of the first-order gaps over the same partition, which the sort of (1)
+    already serves. One sort per key set; the family shares one exchange. Expressions are SQL text
+    (one parse each), which keeps plan building cheap for the hundreds of columns.
     """
     for ks in key_sets:
         n = gap_name(ks)
         ok = " AND ".join(f"{_q(k)} IS NOT NULL" for k in ks)
-        d = _shift_exprs(ks, order_col, date_col)
+        w = f"(PARTITION BY {', '.join(_q(k) for k in ks)} ORDER BY {_order_sql(order_col)})"
+        shifts = {}
+        for k in range(1, MAX_SHIFT + 1):
+            shifts[f"_d_p{k}"] = F.expr(f"lead({_q(date_col)}, {k}) OVER {w}")
+            shifts[f"_d_m{k}"] = F.expr(f"lag({_q(date_col)}, {k}) OVER {w}")
+        df = df.withColumns(shifts)
+
+        def d(k: int) -> str:
+            return _q(date_col) if k == 0 else (f"_d_p{k}" if k > 0 else f"_d_m{-k}")
+
         first = _first_order_d(n, d, gaps)
         second = _second_order_d(n, d, gaps)
         names = feature_names(ks, gaps, leaky)
         exprs = {c: e for c, e in {**first, **second}.items() if c in names or c in first}
-        masked = {c: F.expr(f"CASE WHEN {ok} THEN {e} END") for c, e in exprs.items()}
-        df = df.withColumns(masked)
+        df = df.withColumns({c: F.expr(f"CASE WHEN {ok} THEN {e} END") for c, e in exprs.items()}) \
+            .drop(*shifts)
         stats = {c: F.expr(f"CASE WHEN {ok} THEN {e} END")
                  for c, e in _group_stats(n, ks, order_col, gaps, leaky).items()}
         df = df.withColumns(stats)
