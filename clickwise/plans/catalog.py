@@ -687,7 +687,7 @@ def q_fusion_stacking(spark, sf):
     names = list(res)
     oof = fu.oof_matrix(fu.long_predictions(res, "oof"), names)
     tst = fu.oof_matrix(fu.long_predictions(res, "test"), names)
-    stacked = fu.stack_model(oof, tst, names, train.select("log_id", "label"))
+    stacked = fu.stack_model(oof, tst, names, train.select("log_id", "label"), parallelism=FOLD_PARALLELISM)
     return stacked.test.withColumnRenamed("p", "pctr")
 
 
