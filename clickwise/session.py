@@ -48,6 +48,21 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "click
     return spark
 
 
+def size_for_input(spark: SparkSession, input_bytes: int, partition_bytes: int = 256 << 20,
+                   min_partitions: int = 200) -> int:
+    """Size shuffles for an input of ``input_bytes`` (e.g. 100 TB): about ``partition_bytes`` per
+    shuffle partition before AQE coalescing, the same advisory size for AQE, and scan splits of the
+    same size. Returns the partition count set. Wide feature rows grow several-fold after the gap
+    features, so the count is taken on the input and AQE coalesces where stages are small.
+    """
+    n = max(min_partitions, -(-input_bytes // partition_bytes))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(partition_bytes))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(partition_bytes))
+    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", str(4 * partition_bytes))
+    return n
+
+
 def apply_defaults(spark: SparkSession) -> SparkSession:
     for k, v in SESSION_DEFAULTS.items():
         spark.conf.set(k, v)
