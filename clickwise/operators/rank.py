@@ -9,7 +9,8 @@ A window with an ORDER BY but no PARTITION BY runs in one task. Instead:
 3. per-bucket totals form a table of ``n_buckets`` rows per group; their running sum is the
    offset of each bucket;
 4. a window partitioned by ``(group, bucket)`` gives the running sum inside the bucket; the offset
-   (broadcast: its size is bounded by ``n_buckets`` × groups) is added.
+   is joined on ``(group, bucket)`` (the data's existing partitioning; AQE broadcasts the offset
+   table when its measured size is small) and added.
 
 ``order_cols`` must be a total order (unique) within a group, and ``sort_key`` must be monotone
 non-decreasing in it. Rows with equal ``sort_key`` always fall in the same bucket, so ties in the key
@@ -23,8 +24,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+MAX_BUCKETS = 65536  # bounds the driver-side boundary list (512 KB) and the offset table per group
+
+
 def default_buckets(spark) -> int:
-    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) * 4)
+    return min(MAX_BUCKETS, max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) * 4))
 
 
 def _bucketize(df: DataFrame, sort_key: Column, n_buckets: int, out: str) -> DataFrame:
@@ -46,15 +50,16 @@ def _combine(kind: str, a: Column, b: Column) -> Column:
 
 
 def running_scan(df: DataFrame, specs: list[tuple[Column | str, str, str]], order_cols: list[str], sort_key: Column,
-                 group_cols: list[str] | tuple = (), n_buckets: int | None = None, few_groups: bool = True) -> DataFrame:
+                 group_cols: list[str] | tuple = (), n_buckets: int | None = None, few_groups: bool = False) -> DataFrame:
     """Inclusive prefix scans in ``order_cols`` order (within ``group_cols``).
 
     ``specs`` is a list of ``(value, kind, out)`` with ``kind`` in ``{"sum", "xor"}`` (associative, with
     identity 0). All scans share one bucketing, one shuffle and one window.
 
-    ``few_groups`` says the number of groups is small (e.g. two classes), so the offset table
-    (buckets × groups rows) is broadcast; otherwise it is joined on ``(group, bucket)``, the key the
-    data is already partitioned on.
+    The offset table (one row per group and bucket) is joined on ``(group, bucket)``, the key the
+    data is already partitioned on, so only the offset table moves; AQE turns this into a broadcast
+    join when the offset table's measured size is under the broadcast threshold. ``few_groups=True``
+    forces the broadcast (only for a known small number of groups).
     """
     group_cols = list(group_cols)
     n_buckets = n_buckets or default_buckets(df.sparkSession)
@@ -80,20 +85,20 @@ def running_scan(df: DataFrame, specs: list[tuple[Column | str, str, str]], orde
 
 def running_sum(df: DataFrame, value: Column | str, order_cols: list[str], sort_key: Column,
                 group_cols: list[str] | tuple = (), out: str = "cum", n_buckets: int | None = None,
-                few_groups: bool = True) -> DataFrame:
+                few_groups: bool = False) -> DataFrame:
     """Add ``out`` = inclusive running sum of ``value`` (see :func:`running_scan`)."""
     return running_scan(df, [(value, "sum", out)], order_cols, sort_key, group_cols, n_buckets, few_groups)
 
 
 def running_xor(df: DataFrame, value: Column | str, order_cols: list[str], sort_key: Column,
                 group_cols: list[str] | tuple = (), out: str = "cum", n_buckets: int | None = None,
-                few_groups: bool = True) -> DataFrame:
+                few_groups: bool = False) -> DataFrame:
     """Add ``out`` = inclusive running bitwise XOR of ``value`` (see :func:`running_scan`)."""
     return running_scan(df, [(value, "xor", out)], order_cols, sort_key, group_cols, n_buckets, few_groups)
 
 
 def global_rank(df: DataFrame, order_cols: list[str], sort_key: Column, group_cols: list[str] | tuple = (),
-                out: str = "pos", n_buckets: int | None = None, few_groups: bool = True) -> DataFrame:
+                out: str = "pos", n_buckets: int | None = None, few_groups: bool = False) -> DataFrame:
     """Add ``out`` = 0-based position in ``order_cols`` order (within ``group_cols``): an exact
     ``row_number() - 1`` computed in parallel."""
     r = running_sum(df, F.lit(1).cast("long"), order_cols, sort_key, group_cols, "_rk_cum", n_buckets,
