@@ -29,7 +29,7 @@ NUNI_SUFFIX = "_feeds_nuni"
 SET_MAX_ROWS = 100_000  # largest per-user row count for which a per-user value set is kept in memory
 MEAN_SUFFIX = "_feeds_mean"
 
-# Columns the reference leaves out of each feature kind (by name, in the real feed log).
+# Columns the reference leaves out of each feature kind (by name, in the real feed log).
 NUNIQUE_EXCLUDE = ["label", "istest", "u_userId"]
 MEAN_EXCLUDE = ["istest", "u_userId", "u_newsCatInterests", "u_newsCatDislike", "u_newsCatInterestsST",
                 "u_click_ca2_news", "i_docId", "i_s_sourceId", "i_entities"]

@@ -25,19 +25,13 @@ ORDINAL_MODULUS = 2147483647
 ORDINAL_SPLIT_OFFSET = 2147483648
 TEST_EVERY = 5  # event_id % 5 == 4 -> test split
 
-# The 11 key sets of the time-gap features, user-prefixed ones first.
+# The 11 key sets of the time-gap features, in the reference's order (which is also the
+# output column order; execution groups them by leading key regardless).
 GAP_KEY_SETS = [
-    ["user_id"],
-    ["user_id", "adv_id"],
-    ["user_id", "task_id"],
-    ["user_id", "creat_type_cd"],
-    ["user_id", "adv_prim_id"],
-    ["user_id", "inter_type_cd"],
-    ["user_id", "slot_id"],
-    ["user_id", "site_id"],
-    ["user_id", "spread_app_id"],
-    ["task_id"],
-    ["adv_id"],
+    ["user_id"], ["task_id"], ["adv_id"],
+    ["user_id", "adv_id"], ["user_id", "task_id"], ["user_id", "creat_type_cd"],
+    ["user_id", "adv_prim_id"], ["user_id", "inter_type_cd"], ["user_id", "slot_id"],
+    ["user_id", "site_id"], ["user_id", "spread_app_id"],
 ]
 
 # Columns encoded by first appearance (the ^-joined list columns of the real log).
