@@ -97,3 +97,22 @@ def test_non_leaky_features_ignore_the_future(spark):
     x = full.where(F.col("pt_d") <= cut).select("log_id", *gap_cols)
     y = past.select("log_id", *gap_cols)
     assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0
+
+
+def test_csv_scan_forces_list_columns_to_text_and_keeps_file_order(spark, tmp_path):
+    from clickwise.sources import io as sio
+    header = ",".join(n for n, _ in sio.ADS_FIELDS)
+    rows = []
+    for i in range(5):
+        vals = {n: "1" for n, _ in sio.ADS_FIELDS}
+        vals.update(log_id=str(100 - i), ad_click_list_v001="24107" if i % 2 else "30157^30648",
+                    app_score="10.0", pt_d="202206030326")
+        rows.append(",".join(vals[n] for n, _ in sio.ADS_FIELDS))
+    path = tmp_path / "ads.csv"
+    path.write_text(header + "\n" + "\n".join(rows) + "\n")
+    df = sio.read_csv(spark, str(path), sio.ADS_SCHEMA)
+    assert dict(df.dtypes)["ad_click_list_v001"] == "string" and dict(df.dtypes)["pt_d"] == "bigint"
+    ordered = sio.with_file_ordinal(df, "ro").orderBy("ro").select("log_id", "ro").collect()
+    assert [(r["log_id"], r["ro"]) for r in ordered] == [(100 - i, i) for i in range(5)]
+    sub = sio.read_csv(spark, str(path), sio.ADS_SCHEMA, ["log_id", "label"])
+    assert sub.columns == ["log_id", "label"]
