@@ -116,3 +116,20 @@ def test_csv_scan_forces_list_columns_to_text_and_keeps_file_order(spark, tmp_pa
     assert [(r["log_id"], r["ro"]) for r in ordered] == [(100 - i, i) for i in range(5)]
     sub = sio.read_csv(spark, str(path), sio.ADS_SCHEMA, ["log_id", "label"])
     assert sub.columns == ["log_id", "label"]
+
+
+def test_size_for_input_sets_partitions_and_restores(spark):
+    from clickwise.session import size_for_input
+    keys = ["spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+            "spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes"]
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        assert size_for_input(spark, 100 * 10**12) == 372530
+        assert size_for_input(spark, 10**6) == 200
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "200"
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
