@@ -33,7 +33,7 @@ _NEAR_SQL = """
                                           '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
     sets AS (
         SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
-               ELSE list_distinct(list_transform(range(1, len(w) - 2), i -> array_to_string(w[i:i + 3], ' '))) END AS s FROM lowered),
+               ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s FROM lowered),
     shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS sh FROM sets),
     links AS (
         SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b ON a.sh = b.sh AND a.doc_id <> b.doc_id
