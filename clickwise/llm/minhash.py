@@ -10,8 +10,11 @@ star-shaped candidate edges.
 3. Links are confirmed on the full shingle sets: first each member's edge to its smallest centre, then those
    edges that still lead between different components.
 4. What stars leave out: where a bucket of three or more still holds several components, its members are
-   compared across components if they share one of their rarest shingles (a text pair above the threshold
-   always shares one of the rarest n - ceil(0.8 n) + 1), and confirmed in the same way.
+   compared across components. Shingles that at most FEW of them hold are matched directly; a pair that shares none of
+   those can only be similar if both hold few of them and share one of the rarest others (the rarest
+   n - ceil(0.8 n) + 1 shingles of similar texts always meet). Such a pair is taken once, at its first common
+   shingle, if the heads of both lists share enough for the rest to reach the threshold. All bounds are exact:
+   they drop pairs below the threshold only. What is left is confirmed in the same way.
 
 Null and empty texts, and texts of white space alone, have an empty set and are linked with nothing. Repeated
 rows and equal sets are one class. A null doc_id never names a component unless all of its members' are
@@ -37,6 +40,11 @@ ROWS = 4
 BANDS = 32
 BINS = ROWS * BANDS
 PERCENT = 80
+#: A shingle that at most so many of the compared texts hold is counted out (see step 4).
+FEW = 16
+#: Shingles of a text that are compared before its whole set is.
+HEAD = 64
+CARRIED = ("cls", "label", "n", "few", "_r", "head", "last", "rest")
 
 _order = np.argsort(keys(BINS * BINS, 11).reshape(BINS, BINS), axis=1)
 #: _RANK[i, j]: when bin i, if empty, asks bin j
@@ -161,19 +169,51 @@ def _residual_pairs(members: DataFrame, roots: DataFrame, sets: DataFrame, perce
     shingles = scratch_table(whole.select("cls", "label", "n", "set")
                              .mapInArrow(explode, "cls binary, label binary, n long, sh long"), "left-shingles")
     df = scratch_table(shingles.groupBy("sh").agg(F.count(F.lit(1)).alias("df")), "left-df")
+    counted = scratch_table(shingles.join(df, "sh"), "left-counted")
+    # the shingles that only few hold can be counted out: a pair shares those it meets in, and no others
+    few = scratch_table(counted.groupBy("cls").agg(F.count_if(F.col("df") <= FEW).alias("few")), "left-few")
+    known = scratch_table(counted.where("df > 1").join(few, "cls"), "left-known")
+    side = [F.col(c).alias(f"{c}_{x}") for x in "ab" for c in ("cls", "label", "n", "few")]
+    a, b = (known.select("sh", "df", *side[i:i + 4]) for i in (0, 4))
+    possible = "percent * (n_a + n_b) <= (100 + percent) * (shared + least(n_a - few_a, n_b - few_b))".replace("percent", str(percent))
+
+    few_rows = (a.where(F.col("df") <= FEW).join(b.where(F.col("df") <= FEW).drop("df"), "sh")
+                .where("cls_a < cls_b AND label_a <> label_b").where(_similar_sizes("n_a", "n_b", percent)))
+    by_few = (few_rows.groupBy("cls_a", "cls_b", "n_a", "n_b", "few_a", "few_b").agg(F.count(F.lit(1)).alias("shared"))
+              .where(possible).select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b")))
+
+    # pairs that share none of those: both hold few of them, and share one of the rarest of the others
     rare = Window.partitionBy("cls").orderBy("df", "sh")
-    prefix = scratch_table(
-        shingles.join(df, "sh").withColumn("_r", F.row_number().over(rare))
-        .where(F.col("_r") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).where("df > 1")
-        .select("sh", "cls", "label", "n"), "left-prefix")
+    core = known.where(f"100 * few <= (100 - {percent}) * n")
+    ranked = scratch_table(core.where(F.col("df") > FEW).withColumn("_r", F.row_number().over(rare) + F.col("few")), "left-ranked")
+    heads = scratch_table(ranked.where(F.col("_r") <= F.col("few") + HEAD).groupBy("cls", "n", "few")
+                          .agg(F.array_sort(F.collect_list(F.struct("df", "sh"))).alias("_head"))
+                          .select(F.col("cls").alias("_c"), F.col("_head.sh").alias("head"), F.when(F.size("_head") == HEAD, F.col("_head")[HEAD - 1])
+                                  .alias("last"), F.when(F.size("_head") == HEAD, F.col("n") - F.col("few") - HEAD).otherwise(0).alias("rest")), "heads")
+    prefix = scratch_table(ranked.where(F.col("_r") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)
+                           .join(heads, F.col("cls") == F.col("_c")).select("sh", *CARRIED), "left-prefix")
     by_label = prefix.groupBy("sh", "label").agg(F.count(F.lit(1)).alias("_c"))
     most = scratch_table(by_label.groupBy("sh").agg(F.max_by("label", F.struct("_c", "label")).alias("_most"),
                                                     F.count(F.lit(1)).alias("_k")).where("_k > 1").select("sh", "_most"), "left-most")
     stray = scratch_table(prefix.join(most, "sh").where("label <> _most")
-                          .select("sh", F.col("cls").alias("a"), F.col("label").alias("_la"), F.col("n").alias("_na")), "strays")
-    other = prefix.select("sh", F.col("cls").alias("b"), F.col("label").alias("_lb"), F.col("n").alias("_nb"))
-    return scratch_table(stray.join(other, "sh").where(F.col("_la") != F.col("_lb")).where(_similar_sizes("_na", "_nb", percent))
-                         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "left-pairs")
+                          .select("sh", "_most", *[F.col(c).alias(f"{c}_a") for c in CARRIED]), "strays")
+    other = prefix.select("sh", *[F.col(c).alias(f"{c}_b") for c in CARRIED])
+    near = possible.replace("shared", "0")
+    # the rarest common shingle is among the first of the smaller text; before it nothing is common, and of the
+    # counted-out ones none is
+    place = (f"{percent} * (n_a + n_b) <= (100 + {percent}) * (least(_r_a - few_a, _r_b - few_b) + least(n_a - _r_a, n_b - _r_b))"
+             f" AND CASE WHEN n_a < n_b OR n_a = n_b AND cls_a < cls_b THEN _r_a <= n_a - ceil(2 * {percent} * n_a / (100 + {percent})) + 1"
+             f" ELSE _r_b <= n_b - ceil(2 * {percent} * n_b / (100 + {percent})) + 1 END")
+    # a pair is taken at its first common shingle, if the heads (the first shingles of each, in one order for all)
+    # share enough: up to the end of the shorter-reaching head what they share is known
+    share = "array_intersect(head_a, head_b)"
+    first = f"size({share}) = 0 OR {share}[0] = sh"
+    rest = "CASE WHEN last_a IS NULL THEN IF(last_b IS NULL, 0, rest_b) WHEN last_b IS NULL OR last_a <= last_b THEN rest_a ELSE rest_b END"
+    enough = f"{percent} * (n_a + n_b) <= (100 + {percent}) * (size({share}) + {rest})"
+    by_rest = (stray.join(other, "sh").where(F.col("label_a") != F.col("label_b")).where(_similar_sizes("n_a", "n_b", percent))
+               .where("label_b = _most OR cls_a < cls_b").where(near).where(place).where(first).where(enough)
+               .select(F.least("cls_a", "cls_b").alias("a"), F.greatest("cls_a", "cls_b").alias("b")))
+    return scratch_table(by_few.union(by_rest).distinct(), "left-pairs")
 
 
 def near_groups(docs: DataFrame, width: int = 5, percent: int = PERCENT, id_col: str = "doc_id",
