@@ -1,0 +1,374 @@
+"""Each operator on odd rows, on an empty table, and against a plain version of its contract."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from clickwise.llm import common, exact, minhash, mix, pack, pii, quality, rans, secrets, shard, simhash, tokens, words
+from .conftest import SCHEMA, odd_texts
+
+SF = "/root/testdata/sf0.001"
+WEIGHTS = {"src0": 3, "src1": 1}
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return common.documents(spark, SF)
+
+
+@pytest.fixture(scope="module")
+def local(docs):
+    return docs.toPandas().sort_values("doc_id").reset_index(drop=True)
+
+
+def operators(labels):
+    return {"shard": lambda d: shard.shard_rows(d, 4), "near": lambda d: minhash.near_groups(d, 4), "exact": exact.exact_groups,
+            "pack": lambda d: pack.pack_pieces(d, 64), "pii": pii.tag_rows, "simhash": simhash.neighbour_fingerprints,
+            "secrets": secrets.scan_rows, "quality": lambda d: quality.score_rows(d, labels), "files": rans.token_files,
+            "mix": lambda d: mix.mix_rows(d, WEIGHTS)}
+
+
+def test_odd_rows_go_through(odd, labels):
+    n = odd.count()
+    for name, op in operators(labels).items():
+        got = op(odd).toPandas()
+        if name == "pack":
+            assert (got["length"].sum(), len(got)) == (sum(map(len, tokens.encode_texts([r["text"] for r in odd.collect()]))), got["sequence_id"].nunique())
+        else:
+            assert len(got) == n, name
+
+
+def test_empty_tables(spark, labels):
+    empty = spark.createDataFrame([], SCHEMA)
+    for name, op in operators(labels.where("false")).items():
+        assert op(empty).count() == 0, name
+
+
+def test_shards_are_even_gapless_and_reproducible(docs):
+    a = shard.shard_rows(docs, 7).drop("grown_shard").toPandas()
+    b = shard.shard_rows(docs.repartition(5), 7).drop("grown_shard").toPandas()
+    assert a.sort_values("doc_id").values.tolist() == b.sort_values("doc_id").values.tolist()
+    sizes = a.groupby("shard").slot.agg(["count", "min", "max", "nunique"])
+    assert sizes["count"].max() - sizes["count"].min() <= 1
+    assert (sizes["min"] == 0).all() and (sizes["max"] == sizes["count"] - 1).all() and (sizes["nunique"] == sizes["count"]).all()
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 16, 17, 250, 1009])
+def test_feistel_walk_is_a_permutation(spark, n):
+    got = spark.range(n).select(shard.permuted("id", n).alias("p")).toPandas()["p"]
+    assert sorted(got) == list(range(n))
+
+
+def test_shard_size_and_checksum(make):
+    got = shard.shard_rows(make([None, "é"]), 2).toPandas().sort_values("doc_id")
+    assert got["size"].tolist() == [16, 18] and got["text_crc32"].tolist() == [zlib.crc32(b""), zlib.crc32("é".encode())]
+
+
+@pytest.mark.parametrize("keep,best", [("smallest", min), ("largest", max)])
+def test_exact_groups(spark, make, keep, best):
+    texts = odd_texts() + ["copy"] * 300 + [None] * 5
+    got = exact.exact_groups(make(texts).repartition(9), keep).toPandas().set_index("doc_id")
+    same = defaultdict(list)
+    for i, t in enumerate(texts):
+        same[t or ""].append(i)
+    for t, ids in same.items():
+        for i in ids:
+            assert got.loc[i, ["keep_id", "group_size", "kept"]].tolist() == [best(ids), len(ids), i == best(ids)]
+            assert got.loc[i, "text_sha256"] == hashlib.sha256(t.encode()).hexdigest()
+
+
+def test_drop_exact_leaves_one_row_a_text(odd):
+    left = exact.drop_exact(odd)
+    assert left.columns == odd.columns
+    texts = [r["text"] or "" for r in left.collect()]
+    assert sorted(texts) == sorted({t or "" for t in odd_texts()})
+
+
+def near_plain(texts, width, percent=80):
+    lower = {c: c + 32 for c in range(65, 91)}
+    sets = []
+    for t in texts:
+        w = re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(lower))
+        sets.append({tuple(w[i:i + width]) for i in range(len(w) - width + 1)} if len(w) >= width else {tuple(w)} if w else set())
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+    for i, a in enumerate(sets):
+        for j in range(i):
+            both = len(a & sets[j])
+            if both and 100 * both >= percent * len(a | sets[j]):
+                x, y = sorted((find(i), find(j)))
+                root[y] = x
+    return [find(i) for i in range(len(texts))], [len(s) for s in sets]
+
+
+def test_near_groups_match_all_pairs(make):
+    rng = random.Random(5)
+    texts = odd_texts()
+    for size, edits in [(60, 40), (25, 25), (200, 20), (6, 12), (4, 5), (3, 4), (100, 60)]:
+        base = [f"v{rng.randrange(10_000)}" for _ in range(size)]
+        for _ in range(edits):
+            t = list(base)
+            for _ in range(rng.randrange(0, max(2, size // 14))):
+                t[rng.randrange(size)] = f"e{rng.randrange(10_000)}"
+            texts.append(" ".join(t[rng.randrange(0, 2):]))
+    want, sizes = near_plain(texts, 4)
+    got = minhash.near_groups(make(texts), 4).toPandas().sort_values("doc_id")
+    assert got["n_shingles"].tolist() == sizes
+    assert got["component_id"].tolist() == want
+    assert got["kept"].tolist() == [i == w for i, w in enumerate(want)]
+
+
+def test_chain_of_links_is_one_component(spark):
+    from clickwise.llm.components import components
+    links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a int, b int")
+    got = {r["node"]: r["root"] for r in components(links).collect()}
+    assert got == {**dict.fromkeys(range(41), 0), 100: 100, 101: 100}
+
+
+def test_drop_near_keeps_columns_and_one_of_a_group(make):
+    base = " ".join(f"w{i}" for i in range(100))
+    docs = make([base, base + " more", "else", None, ""], extra=True)
+    left = minhash.drop_near(docs)
+    assert left.columns == docs.columns and sorted(r["doc_id"] for r in left.collect()) == [0, 2, 3, 4]
+
+
+def test_densified_signature_of_a_tiny_set_copies_values():
+    s = np.unique(words.keys(3, 9))
+    assert set(minhash.signature(s)) <= set(s) and len(minhash.signature(s)) == minhash.BINS
+
+
+def test_tokens_equal_the_library(local):
+    from tokenizers import Tokenizer
+    whole = Tokenizer.from_file(tokens.vocabulary())
+    texts = odd_texts() + local.text.tolist() + ["ÀÉ É,É. don't DON'T, a.b,c", "İstanbul ẞ ﬁ T̈ ẗ", "x\x1cy\x85z\xa0q", "a,<|startoftext|>.b"]
+    got = [x.tolist() for x in tokens.encode_texts(texts)]
+    assert got == [whole.encode(t or "", add_special_tokens=False).ids + [2] for t in texts]
+
+
+def test_token_cache_bound_changes_nothing(local, monkeypatch):
+    want = [x.tolist() for x in tokens.encode_texts(local.text.tolist())]
+    monkeypatch.setattr(tokens, "_loaded", {})
+    monkeypatch.setattr(tokens, "CACHE_PIECES", 50)
+    assert [x.tolist() for i in range(0, len(local), 10) for x in tokens.encode_texts(local.text.tolist()[i:i + 10])] == want
+
+
+def test_pieces_are_powers_of_two(docs, local):
+    got = pack.pack_pieces(docs, 512).toPandas()
+    ids = dict(zip(local.doc_id, tokens.encode_texts(local.text.tolist())))
+    assert sorted(got["sequence_id"]) == list(range(len(got))) and (got["offset"] == 0).all()
+    assert (got.sort_values("sequence_id")["length"].diff().dropna() <= 0).all()
+    for d, pieces in got.groupby("doc_id"):
+        pieces, at = pieces.sort_values("start"), 0
+        for s, n, crc in zip(pieces.start, pieces.length, pieces.ids_crc32):
+            assert s == at and n & (n - 1) == 0 and n <= 512 and crc == zlib.crc32(ids[d][s:s + n].tobytes())
+            at += n
+        assert at == len(ids[d]) == pieces.doc_tokens.iloc[0]
+
+
+def pii_plain(t):
+    d = lambda s: re.sub("[^0-9]", "", s)
+    out = [(m.start(), m.end(), 0) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
+    out += [(m.start(), m.end(), 1) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t) if all(int(x) <= 255 for x in m.group().split("."))]
+    out += [(m.start(), m.end(), 2) for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", t) if 14 <= len(d(m.group())) <= 19 and pii.luhn(d(m.group()))]
+    out += [(m.start(), m.end(), 3) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", t) if 10 <= len(d(m.group())) <= 15]
+    return sorted(out, key=lambda x: (x[0], x[2]))
+
+
+def test_base_spans_equal_the_patterns(local):
+    rng = random.Random(3)
+    texts = local.text.tolist() + ["".join(rng.choice(a) for _ in range(rng.randint(0, 60))) for a in ("ab.@+-1234 05()%", "12 2550.-+", "a@.", "4 -1+(") for _ in range(500)]
+    for t in texts:
+        assert pii.base_spans(t) == pii_plain(t)
+
+
+def test_field_adds_other_notations_and_leaves_clean_text():
+    rng = random.Random(1)
+    n = lambda k: "".join(rng.choice("0123456789") for _ in range(k))
+    texts = [f"some words here {x} and more words there" for _ in range(40) for x in (f"+1 ({n(3)}) 555-{n(4)}", f"ab{n(2)}@mail{n(1)}.example.com",
+                                                                                      f"{rng.randint(1, 250)}.{rng.randint(1, 250)}.0.7", "4111 1111 1111 1111")]
+    w = pii.fit(texts)
+    for t in texts:
+        base, every = pii.all_spans(t, w)
+        assert base and set(base) <= set(every)
+    base, every = pii.all_spans("call (279) 555-5103 today", w)
+    assert not base and [pii.KINDS[k] for _, _, k in every] == ["phone"]
+    for t in ("on 2024-05-17 at noon", "version 3.11.2 of it", "plain words only", "order 12345 of 77"):
+        assert pii.all_spans(t, w)[1] == [], t
+
+
+def test_segment_probabilities_sum_like_all_segmentations():
+    t = "call 279 555 now"
+    lattice = pii.Lattice(t, next(pii.windows(t)))
+    w = np.random.default_rng(0).normal(size=(pii.DIMENSIONS, len(pii.KINDS)))
+    s = lattice.scores(w)
+
+    def total(at):  # every segmentation from a unit on
+        if at == lattice.n:
+            return 1.0
+        return total(at + 1) + sum(np.exp(s[k]).sum() * total(j) for k, (i, j) in enumerate(lattice.where) if i == at)
+
+    def through(k):
+        i, j = lattice.where[k]
+        sub = lambda stop: 1.0 if stop == 0 else sub(stop - 1) + sum(np.exp(s[q]).sum() * sub(lattice.where[q][0]) for q in lattice.into[stop])
+        return sub(i) * np.exp(s[k]) * total(j)
+    got = lattice.expected(w)
+    for k in range(len(lattice.where)):
+        assert np.allclose(got[k], through(k) / total(0))
+
+
+def test_neighbours_and_their_edited_texts(docs, local):
+    got = simhash.neighbour_fingerprints(docs).toPandas().set_index("doc_id")
+    order = local.sort_values("doc_id", ascending=False)
+    texts = order.text.tolist()
+    after = texts[1:] + texts[:1]
+    edited = [t[:len(t) - len(t) // 3] + f[:len(t) // 3] for t, f in zip(texts, after)]
+    got = got.loc[order.doc_id]
+    assert got.edited_sha256.tolist() == [hashlib.sha256(t.encode()).hexdigest() for t in edited]
+    fp, ep = simhash.fingerprints(texts), simhash.fingerprints(edited)
+    assert got.fingerprint.tolist() == [f"{x:016x}" for x in fp] and got.edited_fingerprint.tolist() == [f"{x:016x}" for x in ep]
+    assert got.near_edited.tolist() == [simhash.likeness(a, b) for a, b in zip(fp, ep)]
+    assert got.near_edited.mean() > got.near_next.mean() + 0.15
+
+
+def test_simhash_votes_bit_by_bit():
+    text = "a b c a b d a b"
+    group = words.Words([text.encode()], True)
+    votes = np.zeros(64)
+    for term, c in Counter(group.ngrams(0, 2).tolist()).items():
+        votes += (1 + np.log(c)) * np.array([1.0 if term >> (63 - i) & 1 else -1.0 for i in range(64)])
+    assert simhash.fingerprints([text])[0] == sum(1 << (63 - i) for i in range(64) if votes[i] > 0)
+
+
+@pytest.mark.parametrize("radius", [0, 1, 3, 6])
+def test_block_tables_find_all_within_the_radius(spark, radius):
+    rng = random.Random(radius)
+    base = [rng.getrandbits(64) for _ in range(20)]
+    prints = base + [b ^ sum(1 << i for i in rng.sample(range(64), rng.randint(0, 8))) for b in base for _ in range(15)]
+    df = spark.createDataFrame([(i, f"{p:016x}") for i, p in enumerate(prints)], "doc_id long, fingerprint string")
+    got = {(int(r["query"], 16), int(r["fingerprint"], 16), r["rows"]) for r in simhash.within_radius(df, df.where("doc_id < 20"), radius).collect()}
+    copies = Counter(prints)
+    assert got == {(q, p, copies[p]) for q in set(base) for p in copies if (p ^ q).bit_count() <= radius}
+
+
+def test_secrets_are_told_from_other_runs(spark, make):
+    rng = random.Random(2)
+    hexa = lambda k: "".join(rng.choice("0123456789abcdef") for _ in range(k))
+    texts = [f"words before token = \"{hexa(40)}\" after" for _ in range(30)] + [f"the password={hexa(18)} here" for _ in range(30)]
+    texts += [f"a card {rng.randrange(10 ** 15, 10 ** 16)} there" for _ in range(60)] + [f"write to ab.1{i}@mail{i}.example.com soon" for i in range(30)] + ["clean words only"] * 5
+    got = secrets.scan_rows(make(texts)).toPandas().set_index("doc_id").sort_index()
+    assert (got.n_secrets[:60] == 1).all() and (got.n_secrets[60:] == 0).mean() > 0.95
+    s, e = map(int, got.spans[0].split(":"))
+    assert re.fullmatch("[0-9a-f]{40}", texts[0][s:e])
+
+
+def test_findings_without_a_class_follow_the_label(make):
+    got = secrets.scan_rows(make(["token = \"6cfd1f1f244d4c4c327ecfd8fd9898497c475388\"", None])).toPandas().set_index("doc_id")
+    assert got.n_secrets.to_dict() == {0: 1, 1: 0}
+
+
+def test_quality_on_held_out_rows(spark):
+    d = "/root/testdata/sf0.01"
+    scored = quality.score_rows(common.documents(spark, d), spark.read.parquet(f"{d}/labels.parquet"))
+    known = scored.join(spark.read.parquet(f"{d}/labels.parquet"), "doc_id").where("held_out").toPandas()
+    assert (known.predicted == known.quality).mean() > 0.95 and scored.where("score < 0 OR score > 1").isEmpty()
+    assert (known.held_out == [zlib.crc32(str(i).encode()) % 3 == 1 for i in known.doc_id]).all()
+
+
+def test_quality_never_learns_from_held_out_rows(spark, docs):
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    flipped = labels.withColumn("quality", F.when(quality.held_out(F.col("doc_id")), 1 - F.col("quality")).otherwise(F.col("quality")))
+    a, b = (quality.score_rows(docs, x).orderBy("doc_id").toPandas() for x in (labels, flipped))
+    assert a.equals(b)
+
+
+def test_quality_without_labels_is_a_constant(spark, odd, labels):
+    got = quality.score_rows(odd, labels.where("false")).toPandas()
+    assert (got.score == 0.5).all()
+
+
+def test_dual_coordinate_descent_reaches_the_margin():
+    rows = [np.array([i % 2, 2 + i % 5]) for i in range(40)]
+    y = np.array([1.0 if i % 2 else -1.0 for i in range(40)])
+    w, b = quality.dual_coordinate_descent(rows, y, np.ones(7), cost=100.0, epochs=200)
+    x = np.zeros((40, 7))
+    for i, r in enumerate(rows):
+        x[i, r] = 1 / np.sqrt(2)
+    assert (y * (x @ w + b) > 0.99).all()
+
+
+@pytest.mark.parametrize("n", [1, 2, 63, 64, 1000, 1025, 140_000, 262_149])
+def test_rans_round_trip(n):
+    ids = np.minimum(np.random.default_rng(n).zipf(1.2, n), 49_000).astype(np.uint32)
+    table = rans.Table(Counter(ids.tolist()))
+    assert int(table.freq.sum()) == 1 << rans.PRECISION and (table.freq[np.unique(ids)] > 0).all()
+    block = rans.encode_block(ids, table)
+    assert (rans.decode_block(block, table) == ids).all()
+    if n > 100_000:
+        p = np.bincount(ids) / n
+        entropy = -(p[p > 0] * np.log2(p[p > 0])).sum()
+        assert len(block["words"]) * 8 / n < entropy * 1.02 + 0.01
+
+
+def test_a_damaged_block_is_refused():
+    ids = np.arange(5000, dtype=np.uint32) % 97
+    table = rans.Table(Counter(ids.tolist()))
+    block = rans.encode_block(ids, table)
+    words_ = bytearray(block["words"])
+    words_[10] ^= 1
+    with pytest.raises(ValueError):
+        rans.decode_block({**block, "words": bytes(words_)}, table)
+
+
+def test_token_files_are_in_id_order(spark, docs, local, tmp_path):
+    path = str(tmp_path / "set")
+    table = rans.write_tokens(docs, path, block_tokens=5000)
+    got = rans.read_tokens(spark, path, table).toPandas().sort_values("doc_id")
+    ids = list(tokens.encode_texts(local.text.tolist()))
+    sizes = [len(x) for x in ids]
+    assert got.n_tokens.tolist() == sizes and got.start.tolist() == (np.cumsum(sizes) - sizes).tolist()
+    assert got.ids_crc32.tolist() == [zlib.crc32(x.tobytes()) for x in ids]
+
+
+def test_mixture_is_whole_and_within_a_block(spark, make):
+    texts = [f"t{i}" for i in range(700)]
+    docs = make(texts).withColumn("source", F.expr("CASE WHEN doc_id < 400 THEN 'src0' WHEN doc_id < 600 THEN 'src1' WHEN doc_id % 2 = 0 THEN 'other' END"))
+    weights, block = {"src0": 5, "src1": 3}, 4
+    got = mix.mix_rows(docs, weights, 2, block).toPandas().sort_values("position")
+    assert got.position.tolist() == list(range(700)) and (got.release <= got.slot).all() and (got.slot < got.deadline).all()
+    share = {"src0": 5, "src1": 3, mix.REST: 2}
+    slots = got.groupby("slot").mix_class.first()
+    assert (got.groupby("slot").mix_class.nunique() == 1).all()
+    first_end = min(got[got.mix_class == c].slot.max() for c in share)
+    done = Counter()
+    for t in range(first_end + 1):
+        done[slots[t]] += 1
+        for c, w in share.items():
+            assert abs(done[c] - (t + 1) * w / 10) < 1
+
+
+def test_schedule_meets_every_window():
+    rng = random.Random(4)
+    for _ in range(30):
+        weights = {f"s{i}": rng.randint(1, 9) for i in range(rng.randint(1, 6))}
+        slots = mix.edf_slots(weights)
+        total = sum(weights.values())
+        assert sorted(t for s in slots.values() for t in s) == list(range(total))
+        for c, s in slots.items():
+            for j, t in enumerate(s):
+                assert j * total // weights[c] <= t < -(-(j + 1) * total // weights[c])
+
+
+def test_release_deletes_the_scratch_tables(spark, tmp_path):
+    import os
+    path = common.scratch_table(spark.range(3), "gone").inputFiles()[0].removeprefix("file://")
+    assert os.path.exists(path) and common.release(spark) > 0 and not os.path.exists(path)
