@@ -99,7 +99,7 @@ def dual_coordinate_descent(rows: list[np.ndarray], y: np.ndarray, ratio: np.nda
     """Weights and intercept of the L1-loss linear SVM over the scaled indicators; classes weigh the same."""
     w, bias, rng = np.zeros(len(ratio)), 0.0, np.random.default_rng(SEED)
     x = [ratio[f] for f in rows]
-    x = [v / max(float(np.sqrt(v @ v)), 1e-12) for v in x]
+    x = [(v / max(float(np.sqrt(v @ v)), 1e-12)).astype(np.float32) for v in x]
     square = np.array([float(v @ v) + 1.0 for v in x])
     n = len(rows)
     upper = np.where(y > 0, cost * n / (2 * max(1, (y > 0).sum())), cost * n / (2 * max(1, (y < 0).sum())))
@@ -186,14 +186,17 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", fit_ro
 
     found = scratch_table(rows.mapInArrow(gather, "feature int, pos long, neg long, y int, row array<int>"), "features")
     # bounded: one row for each feature number, and the sample
-    counts = found.where("feature IS NOT NULL").groupBy("feature").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).toPandas()
+    counts = (found.where("feature IS NOT NULL").groupBy("feature").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+              .toArrow())
     pos, neg = none.copy(), none.copy()
-    pos[counts["feature"]], neg[counts["feature"]] = counts["pos"], counts["neg"]
-    sample = found.where("y IS NOT NULL").select("y", "row").collect()
-    sample.sort(key=lambda r: (r["y"], r["row"]))
-    order = np.random.default_rng(SEED).permutation(len(sample))
-    y = np.array([1.0 if sample[i]["y"] else -1.0 for i in order])
-    return fit_sample([np.array(sample[i]["row"], np.int32) for i in order], y, pos, neg, share)
+    at = counts["feature"].to_numpy()
+    pos[at], neg[at] = counts["pos"].to_numpy(), counts["neg"].to_numpy()
+    sample = found.where("y IS NOT NULL").select("y", "row").toArrow().combine_chunks()
+    # numpy views of the lists: a Python object for each feature would take ten times the memory
+    drawn = sorted(((y_.as_py(), f.values.to_numpy()) for y_, f in zip(sample["y"], sample["row"])), key=lambda r: (r[0], r[1].tobytes()))
+    order = np.random.default_rng(SEED).permutation(len(drawn))
+    y = np.array([1.0 if drawn[i][0] else -1.0 for i in order])
+    return fit_sample([drawn[i][1] for i in order], y, pos, neg, share)
 
 
 def scorer(docs: DataFrame, model: Model):
