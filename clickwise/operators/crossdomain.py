@@ -55,6 +55,11 @@ def _as_text(df: DataFrame, c: str):
     return col.cast("string")
 
 
+def _set_value(df: DataFrame, c: str):
+    """As text for floating columns, where a set would hold every NaN; both methods count NaN as one value."""
+    return _as_text(df, c) if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType)) else F.col(c)
+
+
 def user_nunique(feeds: DataFrame, cols: list[str] | None = None, key: str = "u_userId",
                  method: str = "auto", hot_threshold: int = DEFAULT_HOT_THRESHOLD) -> DataFrame:
     """One row per user: ``<col>_feeds_nuni`` = number of distinct non-null values (A1)."""
@@ -67,7 +72,7 @@ def user_nunique(feeds: DataFrame, cols: list[str] | None = None, key: str = "u_
         method = "dedup" if big else "set"
     if method == "set":
         return src.groupBy(key).agg(
-            *[F.size(F.collect_set(c)).cast("long").alias(c + NUNI_SUFFIX) for c in cols])
+            *[F.size(F.collect_set(_set_value(src, c))).cast("long").alias(c + NUNI_SUFFIX) for c in cols])
     if method != "dedup":
         raise ValueError(f"unknown method {method!r}")
     # (cid=-1, '') marks every user once, so a user whose values are all null still gets zeros.

@@ -24,7 +24,6 @@ from clickwise.operators.skew import DEFAULT_HOT_THRESHOLD, hot_keys
 from clickwise.session import cut_lineage
 
 GAPS = (1, 2, 3)
-MAX_SHIFT = 4  # d(-4..4) covers every closed form for gaps 1..3
 
 
 def gap_name(keys: list[str]) -> str:
@@ -89,12 +88,13 @@ def _family_plain(df: DataFrame, key_sets: list[list[str]], order_col: str, date
     already serves. One sort per key set; the family shares one exchange. Expressions are SQL text
     (one parse each), which keeps plan building cheap for the hundreds of columns.
     """
+    reach = max(gaps) + 1  # every closed form needs d(-reach..reach)
     for ks in key_sets:
         n = gap_name(ks)
         ok = " AND ".join(f"{_q(k)} IS NOT NULL" for k in ks)
         w = f"(PARTITION BY {', '.join(_q(k) for k in ks)} ORDER BY {_order_sql(order_col)})"
         shifts = {}
-        for k in range(1, MAX_SHIFT + 1):
+        for k in range(1, reach + 1):
             shifts[f"_d_p{k}"] = F.expr(f"lead({_q(date_col)}, {k}) OVER {w}")
             shifts[f"_d_m{k}"] = F.expr(f"lag({_q(date_col)}, {k}) OVER {w}")
         df = df.withColumns(shifts)
@@ -116,15 +116,6 @@ def _family_plain(df: DataFrame, key_sets: list[list[str]], order_col: str, date
     return df
 
 
-def _shift_exprs(keys: list[str], order_col: str, date_col: str, max_shift: int = MAX_SHIFT):
-    w = f"(PARTITION BY {', '.join(_q(k) for k in keys)} ORDER BY {_order_sql(order_col)})"
-    cache = {0: _q(date_col)}
-    for k in range(1, max_shift + 1):
-        cache[k] = f"lead({_q(date_col)}, {k}) OVER {w}"
-        cache[-k] = f"lag({_q(date_col)}, {k}) OVER {w}"
-    return lambda k: cache[k]
-
-
 def _first_order_d(n: str, d, gaps) -> dict[str, str]:
     cols = {}
     for g in gaps:
@@ -242,19 +233,19 @@ def _family_hot(h: DataFrame, key_sets: list[list[str]], order_col: str, date_co
 
 
 def _hot_keyset(narrow: DataFrame, ks: list[str], order_col: str, date_col: str, gaps) -> DataFrame:
-    n = gap_name(ks)
+    n, reach = gap_name(ks), max(gaps) + 1
     part = ", ".join(_q(k) for k in ks + ["_sb"])
     w = f"(PARTITION BY {part} ORDER BY {_q(order_col)})"
     shifts = {"_rn": F.expr(f"row_number() OVER {w}"), "_cnt": F.expr(f"count(1) OVER (PARTITION BY {part})")}
-    for k in range(1, MAX_SHIFT + 1):
+    for k in range(1, reach + 1):
         shifts[f"_b{k}"] = F.expr(f"lead({_q(date_col)}, {k}) OVER {w}")
         shifts[f"_b_{k}"] = F.expr(f"lag({_q(date_col)}, {k}) OVER {w}")
     b = narrow.select(*ks, "_sb", order_col, date_col).withColumns(shifts)
-    edge = b.where((F.col("_rn") <= MAX_SHIFT) | (F.col("_rn") > F.col("_cnt") - MAX_SHIFT)) \
+    edge = b.where((F.col("_rn") <= reach) | (F.col("_rn") > F.col("_cnt") - reach)) \
         .select(*ks, order_col, date_col)
     ew = f"(PARTITION BY {', '.join(_q(k) for k in ks)} ORDER BY {_q(order_col)})"
     e = edge.select(order_col, *[F.expr(f"{fn}({_q(date_col)}, {k}) OVER {ew}").alias(f"_e{'' if fn == 'lead' else '_'}{k}")
-                                 for k in range(1, MAX_SHIFT + 1) for fn in ("lead", "lag")])
+                                 for k in range(1, reach + 1) for fn in ("lead", "lag")])
     fixed = b.join(e, order_col, "left")
 
     def d(k: int) -> str:

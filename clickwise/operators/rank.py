@@ -32,10 +32,12 @@ def default_buckets(spark) -> int:
 
 
 def _bucketize(df: DataFrame, sort_key: Column, n_buckets: int, out: str) -> DataFrame:
-    keyed = df.withColumn("_rk_key", sort_key.cast("double"))
+    # nulls first and NaN last, as Spark sorts them
+    key = sort_key.cast("double")
+    keyed = df.withColumn("_rk_key", F.coalesce(F.nanvl(key, F.lit(float("inf"))), F.lit(float("-inf"))))
     probs = [i / n_buckets for i in range(1, n_buckets)]
     bounds = keyed.approxQuantile("_rk_key", probs, 1.0 / (4 * n_buckets)) if probs else []
-    splits = [float("-inf")] + sorted(set(b for b in bounds if b is not None)) + [float("inf")]
+    splits = [float("-inf")] + sorted({b for b in bounds if b is not None and abs(b) != float("inf")}) + [float("inf")]
     if len(splits) < 3:  # a single bucket
         return keyed.withColumn(out, F.lit(0.0)).drop("_rk_key")
     return Bucketizer(splits=splits, inputCol="_rk_key", outputCol=out,

@@ -48,8 +48,11 @@ def ntile_index(pos: Column, n: Column, k: int) -> Column:
 def kfold_exact(df: DataFrame, k: int = 5, id_col: str = "log_id", seed: int = SEED, out: str = "fold",
                 stratify_col: str | None = None, n_buckets: int | None = None) -> DataFrame:
     """Assign ``out`` in ``0..k-1``: shuffled K-fold with exact fold sizes (optionally per class)."""
-    groups = [stratify_col] if stratify_col else []
+    groups = ["_class"] if stratify_col else []
     src = _with_hash(df, id_col, seed)
+    if stratify_col:  # a null class is a class of its own
+        c = F.col(stratify_col)
+        src = src.withColumn("_class", F.when(c.isNull(), "null").otherwise(F.concat(F.lit("="), c.cast("string"))))
     ranked = global_rank(src, ["_h", id_col], hex_prefix_number(F.col("_h")), group_cols=groups, out="_pos",
                          n_buckets=n_buckets)
     if groups:
@@ -58,7 +61,7 @@ def kfold_exact(df: DataFrame, k: int = 5, id_col: str = "log_id", seed: int = S
         n = F.col("_n")
     else:
         n = F.lit(src.count())
-    return ranked.withColumn(out, ntile_index(F.col("_pos"), n, k)).drop("_h", "_pos", "_n")
+    return ranked.withColumn(out, ntile_index(F.col("_pos"), n, k)).drop("_h", "_pos", "_n", "_class")
 
 
 def kfold_hash(df: DataFrame, k: int = 5, id_col: str = "log_id", seed: int = SEED, out: str = "fold") -> DataFrame:

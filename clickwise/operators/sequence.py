@@ -20,6 +20,7 @@ from clickwise.operators.rank import running_scan
 
 def longest_even_run(df: DataFrame, group_col: str, type_bit: Column, order_cols: list[str], sort_key: Column,
                      out: str = "longest", n_buckets: int | None = None) -> DataFrame:
+    df = df.where(F.col(group_col).isNotNull())  # rows without a key are in no group
     src = df.select(group_col, *order_cols, type_bit.cast("long").alias("_bit"))
     scan = running_scan(src, [(F.lit(1).cast("long"), "sum", "_pos"), ("_bit", "xor", "_mask")], order_cols,
                         sort_key, [group_col], n_buckets, few_groups=False)

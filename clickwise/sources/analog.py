@@ -78,7 +78,7 @@ def feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feed behaviour log keyed by ``u_userId``; a third of the customers have no rows."""
     o = spark.read.parquet(f"{sf_dir}/orders.parquet")
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    j = li.join(o.where(F.col("o_custkey") % 3 != 0), li.l_orderkey == o.o_orderkey)
+    j = li.join(o, li.l_orderkey == o.o_orderkey)
     return j.select(
         F.col("o_custkey").alias("u_userId"),
         F.col("l_partkey"),
@@ -124,7 +124,6 @@ SELECT o.o_custkey AS u_userId, l.l_partkey, l.l_suppkey, l.l_quantity, l.l_disc
        CAST(l.l_returnflag = 'R' AS INTEGER) AS label,
        CAST(l.l_orderkey % {TEST_EVERY} = {TEST_EVERY - 1} AS INTEGER) AS istest
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-WHERE o.o_custkey % 3 <> 0
 """
 
 
