@@ -98,15 +98,15 @@ def dual_coordinate_descent(rows: list[np.ndarray], y: np.ndarray, ratio: np.nda
                             epochs: int = EPOCHS) -> tuple[np.ndarray, float]:
     """Weights and intercept of the L1-loss linear SVM over the scaled indicators; classes weigh the same."""
     w, bias, rng = np.zeros(len(ratio)), 0.0, np.random.default_rng(SEED)
-    x = [ratio[f] for f in rows]
-    x = [(v / max(float(np.sqrt(v @ v)), 1e-12)).astype(np.float32) for v in x]
-    square = np.array([float(v @ v) + 1.0 for v in x])
     n = len(rows)
+    norm = np.array([max(float(np.sqrt(ratio[f] @ ratio[f])), 1e-12) for f in rows])
+    # scaled vectors are made anew at each visit: all of them at once would take several times the sample's memory
+    square = np.array([float(np.square(ratio[f] / d).sum()) + 1.0 for f, d in zip(rows, norm)])
     upper = np.where(y > 0, cost * n / (2 * max(1, (y > 0).sum())), cost * n / (2 * max(1, (y < 0).sum())))
     alpha = np.zeros(n)
     for _ in range(epochs):
         for i in rng.permutation(n):
-            f, v = rows[i], x[i]
+            f, v = rows[i], ratio[rows[i]] / norm[i]
             gradient = y[i] * (float(w[f] @ v) + bias) - 1.0
             new = min(max(alpha[i] - gradient / square[i], 0.0), upper[i])
             step = (new - alpha[i]) * y[i]
@@ -191,12 +191,16 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", fit_ro
     pos, neg = none.copy(), none.copy()
     at = counts["feature"].to_numpy()
     pos[at], neg[at] = counts["pos"].to_numpy(), counts["neg"].to_numpy()
-    sample = found.where("y IS NOT NULL").select("y", "row").toArrow().combine_chunks()
+    sample = found.where("y IS NOT NULL").select("y", F.xxhash64("row").alias("key"), "row").toArrow()
     # numpy views of the lists: a Python object for each feature would take ten times the memory
-    drawn = sorted(((y_.as_py(), f.values.to_numpy()) for y_, f in zip(sample["y"], sample["row"])), key=lambda r: (r[0], r[1].tobytes()))
+    drawn = []
+    for b in sample.to_batches():
+        at, flat = b.column(2).offsets.to_numpy(), b.column(2).values.to_numpy()
+        drawn += [(y_, key, flat[at[i]:at[i + 1]]) for i, (y_, key) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist()))]
+    drawn.sort(key=lambda r: r[:2])  # rows with one key are equal
     order = np.random.default_rng(SEED).permutation(len(drawn))
     y = np.array([1.0 if drawn[i][0] else -1.0 for i in order])
-    return fit_sample([drawn[i][1] for i in order], y, pos, neg, share)
+    return fit_sample([drawn[i][2] for i in order], y, pos, neg, share)
 
 
 def scorer(docs: DataFrame, model: Model):
