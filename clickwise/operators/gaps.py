@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clickwise.operators.rank import global_rank
 from clickwise.operators.skew import DEFAULT_HOT_THRESHOLD, hot_keys
 from clickwise.session import cut_lineage
 
@@ -85,14 +86,17 @@ def _family_plain(df: DataFrame, key_sets: list[list[str]], order_col: str, date
     Per key set three projections: (1) the eight shifts ``d(±1..±4)`` from one window ordered by the
     ordinal (each window function once); (2) first- and second-order gaps as plain arithmetic on
     them; (3) group statistics of the first-order gaps over the same partition, which the sort of (1)
-    already serves. One sort per key set; the family shares one exchange. Expressions are SQL text
+    already serves. Rows without a leading key have no features, so a hash of their ordinal joins the
+    partition key and spreads them over all tasks. One sort per key set; the family shares one exchange. Expressions are SQL text
     (one parse each), which keeps plan building cheap for the hundreds of columns.
     """
     reach = max(gaps) + 1  # every closed form needs d(-reach..reach)
+    order = [order_col] if isinstance(order_col, str) else list(order_col)
+    df = df.withColumn("_keyless", F.when(F.col(_q(key_sets[0][0])).isNull(), F.xxhash64(*[F.col(_q(c)) for c in order])))
     for ks in key_sets:
         n = gap_name(ks)
         ok = " AND ".join(f"{_q(k)} IS NOT NULL" for k in ks)
-        w = f"(PARTITION BY {', '.join(_q(k) for k in ks)} ORDER BY {_order_sql(order_col)})"
+        w = f"(PARTITION BY {', '.join(_q(k) for k in ks + ['_keyless'])} ORDER BY {_order_sql(order_col)})"
         shifts = {}
         for k in range(1, reach + 1):
             shifts[f"_d_p{k}"] = F.expr(f"lead({_q(date_col)}, {k}) OVER {w}")
@@ -109,11 +113,11 @@ def _family_plain(df: DataFrame, key_sets: list[list[str]], order_col: str, date
         df = df.withColumns({c: F.expr(f"CASE WHEN {ok} THEN {e} END") for c, e in exprs.items()}) \
             .drop(*shifts)
         stats = {c: F.expr(f"CASE WHEN {ok} THEN {e} END")
-                 for c, e in _group_stats(n, ks, order_col, gaps, leaky).items()}
+                 for c, e in _group_stats(n, ks + ["_keyless"], order_col, gaps, leaky).items()}
         df = df.withColumns(stats)
         if not leaky:
             df = df.drop(*[c for c in first if c not in names])
-    return df
+    return df.drop("_keyless")
 
 
 def _first_order_d(n: str, d, gaps) -> dict[str, str]:
@@ -135,12 +139,6 @@ def _second_order_d(n: str, d, gaps) -> dict[str, str]:
     return cols
 
 
-def gap_features_one(df: DataFrame, keys: list[str], order_col: str = "ro", date_col: str = "date",
-                     gaps=GAPS, leaky: bool = True, hot_threshold: int | None = DEFAULT_HOT_THRESHOLD) -> DataFrame:
-    """Append the gap features of one key set."""
-    return _family(df, [keys], order_col, date_col, gaps, leaky, hot_threshold)
-
-
 def gap_features(df: DataFrame, key_sets: list[list[str]], order_col="ro", date_col: str = "date",
                  gaps=GAPS, leaky: bool = True, hot_threshold: int | None = DEFAULT_HOT_THRESHOLD,
                  hot: dict | None = None) -> DataFrame:
@@ -177,7 +175,7 @@ def find_hot(df: DataFrame, key_sets: list[list[str]], order_col: str = "ro",
     leads = list(dict.fromkeys(ks[0] for ks in key_sets))
     out = {}
     for lead in leads:
-        t = hot_keys(df, [lead], hot_threshold, order_col)
+        t = hot_keys(df, [lead], hot_threshold)
         out[lead] = (t.schema, t.collect())
     return out
 
@@ -194,7 +192,7 @@ def _family(df: DataFrame, key_sets: list[list[str]], order_col: str, date_col:
     if hot is not None and lead in hot:
         schema, rows = hot[lead]
     else:
-        t = hot_keys(df, [lead], hot_threshold, order_col)
+        t = hot_keys(df, [lead], hot_threshold)
         schema, rows = t.schema, t.collect()
     if not rows:
         return _family_plain(df, key_sets, order_col, date_col, gaps, leaky)
@@ -203,7 +201,7 @@ def _family(df: DataFrame, key_sets: list[list[str]], order_col: str, date_col:
     df = cut_lineage(df)
     cold = df.join(F.broadcast(hot_small.select(lead)), lead, "left_anti")
     cold_out = _family_plain(cold, key_sets, order_col, date_col, gaps, leaky)
-    hot_rows = df.join(F.broadcast(hot_small), lead, "inner")
+    hot_rows = df.join(F.broadcast(hot_small.select(lead)), lead, "left_semi")
     hot_out = _family_hot(hot_rows, key_sets, order_col, date_col, gaps, hot_threshold)
     return cold_out.unionByName(hot_out.select(*cold_out.columns))
 
@@ -212,26 +210,28 @@ def _family_hot(h: DataFrame, key_sets: list[list[str]], order_col: str, date_co
                 threshold: int) -> DataFrame:
     """Gap features for rows of hot leading keys.
 
-    Each hot key's rows are cut into ordinal ranges (``_sb``) of about ``threshold`` rows, so every
+    Each hot key's rows are cut into ordinal ranges (``_sb``) of ``threshold`` rows by their exact rank in
+    the key, so uneven ordinals (test rows after a wide gap) give even ranges and every
     window partition ``(keys, _sb)`` is bounded. Shifts that cross a range edge come from a second
-    window over the *edge rows* only (at most 4 first and 4 last rows per range, so that window is
-    bounded by ``8 × ranges`` per group); group statistics are aggregated per group (map-side
+    window over the *edge rows* only (the first and last ``max(gaps) + 1`` rows of each range); group statistics are aggregated per group (map-side
     combined) and joined back on ``(keys, _sb)``, so no join key is hot either. Results are narrow
     ``(ordinal, features)`` tables joined to the hot rows on the unique ordinal.
     """
-    nb = F.ceil(F.col("_n") / F.lit(threshold))
-    span = F.col("_omax") - F.col("_omin") + 1
-    sb = F.floor((F.col(order_col) - F.col("_omin")).cast("double") * nb / span).cast("long")
-    h = h.withColumn("_sb", sb).drop("_n", "_omin", "_omax")
     keys = list(dict.fromkeys(k for ks in key_sets for k in ks))
     # every key set branches from these narrow rows: materialise them once
-    narrow = cut_lineage(h.select(order_col, date_col, "_sb", *keys))
-    out = h.drop("_sb")
+    narrow = cut_lineage(hot_ranges(h.select(order_col, date_col, *keys), key_sets[0][0], order_col, threshold))
+    out = h
     for ks in key_sets:
         out = out.join(_hot_keyset(narrow, ks, order_col, date_col, gaps), order_col, "left")
     return out
 
 
+def hot_ranges(rows: DataFrame, lead: str, order_col: str, threshold: int) -> DataFrame:
+    """Add ``_sb``: the number of the row's range of ``threshold`` consecutive rows of its key."""
+    ranked = global_rank(rows, [order_col], F.col(order_col), [lead], out="_pos")
+    return ranked.withColumn("_sb", F.floor(F.col("_pos") / threshold).cast("long")).drop("_pos")
+
+
 def _hot_keyset(narrow: DataFrame, ks: list[str], order_col: str, date_col: str, gaps) -> DataFrame:
     n, reach = gap_name(ks), max(gaps) + 1
     part = ", ".join(_q(k) for k in ks + ["_sb"])

@@ -92,13 +92,6 @@ def running_sum(df: DataFrame, value: Column | str, order_cols: list[str], sort_
     return running_scan(df, [(value, "sum", out)], order_cols, sort_key, group_cols, n_buckets, few_groups)
 
 
-def running_xor(df: DataFrame, value: Column | str, order_cols: list[str], sort_key: Column,
-                group_cols: list[str] | tuple = (), out: str = "cum", n_buckets: int | None = None,
-                few_groups: bool = False) -> DataFrame:
-    """Add ``out`` = inclusive running bitwise XOR of ``value`` (see :func:`running_scan`)."""
-    return running_scan(df, [(value, "xor", out)], order_cols, sort_key, group_cols, n_buckets, few_groups)
-
-
 def global_rank(df: DataFrame, order_cols: list[str], sort_key: Column, group_cols: list[str] | tuple = (),
                 out: str = "pos", n_buckets: int | None = None, few_groups: bool = False) -> DataFrame:
     """Add ``out`` = 0-based position in ``order_cols`` order (within ``group_cols``): an exact

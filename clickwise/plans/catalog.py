@@ -622,7 +622,8 @@ def _model_frames(spark, sf, missing="sentinel"):
     a = analog.ads(spark, sf)
     base = gp.gap_features(tp.with_minute_ordinal(a), [["user_id"]])
     base = xd.crossdomain_features(base, analog.feeds(spark, sf), ["l_partkey"], ["l_quantity"])
-    prepared, feats = md.prepare(base.select("log_id", "label", "istest", *MODEL_COLS), MODEL_COLS, missing)
+    base = base.select("log_id", "label", "istest", *MODEL_COLS)
+    prepared, feats = md.prepare(base, MODEL_COLS, missing, fit_on=base.where("istest = 0"))
     return prepared.where("istest = 0"), prepared.where("istest = 1"), feats
 
 
@@ -630,8 +631,8 @@ def _model_frames(spark, sf, missing="sentinel"):
 def q_lr_baseline(spark, sf):
     a = analog.ads(spark, sf)
     train = smp.sample_per_class(a.where("istest = 0"), "label", SAMPLE_SIZES)
-    train, feats = md.prepare(train, analog.PROFILE_COLUMNS, "mean", flags=False)
-    test, _ = md.prepare(a.where("istest = 1"), analog.PROFILE_COLUMNS, "mean", flags=False)
+    test, feats = md.prepare(a.where("istest = 1"), analog.PROFILE_COLUMNS, "mean", flags=False, fit_on=train)
+    train, _ = md.prepare(train, analog.PROFILE_COLUMNS, "mean", flags=False)
     model = md.fit(md.logistic(), md.assemble(train, feats))
     return md.predict_proba(model, md.assemble(test, feats), "pctr").select("log_id", "pctr")
 
@@ -696,16 +697,11 @@ def q_fusion_stacking(spark, sf):
 def _pseudo_long(spark, sf, split):
     a = smp.kfold_hash(analog.ads(spark, sf), 5)
     src = a.where(f"istest = {split}")
-    parts = []
-    for name, c in PSEUDO_SCORES.items():
-        for i in range(5):
-            p = ((F.pmod(F.floor(F.col(c)).cast("long"), F.lit(97)) + i) / 100.0)
-            sel = src.where(F.col("fold") == i) if split == 0 else src
-            parts.append(sel.select("log_id", F.lit(name).alias("learner"), F.lit(i).alias("fold"), p.alias("p")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    folds = F.array(F.col("fold")) if split == 0 else F.sequence(F.lit(0), F.lit(4))
+    scores = F.array(*[F.struct(F.lit(n), F.pmod(F.floor(F.col(c)).cast("long"), F.lit(97)))
+                       .cast("struct<learner:string,base:bigint>") for n, c in PSEUDO_SCORES.items()])
+    return (src.select("log_id", F.explode(folds).alias("fold"), scores.alias("s")).select("log_id", "fold", F.inline("s"))
+            .select("log_id", "learner", "fold", ((F.col("base") + F.col("fold")) / 100.0).alias("p")))
 
 
 def _pseudo_sql(split: int) -> str:

@@ -18,11 +18,13 @@ from pyspark.sql import functions as F
 from clickwise.functions.timeparts import pack_time
 
 # Fixed values of the test mapping (our own choice, not taken from elsewhere).
-# Row ordinal: a multiplicative permutation of event_id modulo the prime 2^31-1, so file order is not
-# time order (as in the real logs); test rows come after train rows.
-ORDINAL_MULTIPLIER = 2654435761
-ORDINAL_MODULUS = 2147483647
-ORDINAL_SPLIT_OFFSET = 2147483648
+# Row ordinal: the low 16 bits of event_id, permuted by an odd multiplier, go above the remaining bits. It is
+# injective for ids from 0 to 2^61 - 1, and file order is not time order (as in the real logs); test rows come
+# after train rows.
+ORDINAL_MULTIPLIER = 40503
+ORDINAL_LOW = 1 << 16
+ORDINAL_HIGH = 1 << 45
+ORDINAL_SPLIT_OFFSET = 1 << 61
 TEST_EVERY = 5  # event_id % 5 == 4 -> test split
 
 # The 11 key sets of the time-gap features, in the reference's order (which is also the
@@ -51,8 +53,8 @@ def ads(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = spark.read.parquet(f"{sf_dir}/events.parquet")
     k = _k(F.col("props"))
     istest = (F.col("event_id") % TEST_EVERY == TEST_EVERY - 1).cast("int")
-    ro = istest.cast("long") * ORDINAL_SPLIT_OFFSET + F.pmod(F.col("event_id") * ORDINAL_MULTIPLIER,
-                                                             F.lit(ORDINAL_MODULUS))
+    ro = F.expr(f"CASE WHEN event_id % {TEST_EVERY} = {TEST_EVERY - 1} THEN {ORDINAL_SPLIT_OFFSET}L ELSE 0L END"
+                f" + event_id % {ORDINAL_LOW} * {ORDINAL_MULTIPLIER} % {ORDINAL_LOW} * {ORDINAL_HIGH}L + event_id div {ORDINAL_LOW}")
     return ev.select(
         F.col("event_id").alias("log_id"),
         F.when(istest == 0, (F.col("event_type") == "click").cast("int")).alias("label"),
@@ -75,7 +77,7 @@ def ads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Feed behaviour log keyed by ``u_userId``; a third of the customers have no rows."""
+    """Feed behaviour log keyed by ``u_userId``."""
     o = spark.read.parquet(f"{sf_dir}/orders.parquet")
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     j = li.join(o, li.l_orderkey == o.o_orderkey)
@@ -113,7 +115,7 @@ SELECT event_id AS log_id,
        CAST(strftime(ts, '%Y%m%d%H%M') AS BIGINT) AS pt_d,
        CAST(event_id % {TEST_EVERY} = {TEST_EVERY - 1} AS INTEGER) AS istest,
        CAST(event_id % {TEST_EVERY} = {TEST_EVERY - 1} AS BIGINT) * {ORDINAL_SPLIT_OFFSET}
-         + (event_id * {ORDINAL_MULTIPLIER}) % {ORDINAL_MODULUS} AS ro
+         + event_id % {ORDINAL_LOW} * {ORDINAL_MULTIPLIER} % {ORDINAL_LOW} * {ORDINAL_HIGH} + event_id // {ORDINAL_LOW} AS ro
 FROM events
 """
 
