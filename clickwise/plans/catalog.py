@@ -610,19 +610,18 @@ def q_ctr_features(spark, sf):
 
 from clickwise.plans import fusion as fu  # noqa: E402
 from clickwise.plans import models as md  # noqa: E402
+from clickwise.session import cut_lineage  # noqa: E402
 
-MODEL_COLS = ["adv_id", "task_id", "creat_type_cd", "slot_id", "app_score", "ts_user_id_1_diff_last",
-              "ts_user_id_1_diff_next", "l_quantity_feeds_mean"]
-MODEL_ROUNDS = 8  # kept small: the queries check the plumbing, the bench times it
+#: Every column of the feature table but the row's id, its ordinal, the label and the split.
+MODEL_COLS = ([c for c in _ADS_OUT if c not in ("log_id", "label", "istest", "ro")] + _CROSS_OUT
+              + ["month", "day", "hour", "minu", "date"] + _GAP_OUT)
 FOLD_PARALLELISM = 5  # fold fits are independent jobs; submit them together
 
 
 def _model_frames(spark, sf, missing="sentinel"):
-    """(train, test, feature list) over a small slice of the feature table, nulls filled."""
-    a = analog.ads(spark, sf)
-    base = gp.gap_features(tp.with_minute_ordinal(a), [["user_id"]])
-    base = xd.crossdomain_features(base, analog.feeds(spark, sf), ["l_partkey"], ["l_quantity"])
-    base = base.select("log_id", "label", "istest", *MODEL_COLS)
+    """(train, test, feature list) over the whole feature table, nulls filled. The table is stored once: the
+    fill statistics, the folds and every learner read it."""
+    base = cut_lineage(ctr_feature_frame(spark, sf).select("log_id", "label", "istest", *MODEL_COLS))
     prepared, feats = md.prepare(base, MODEL_COLS, missing, fit_on=base.where("istest = 0"))
     return prepared.where("istest = 0"), prepared.where("istest = 1"), feats
 
@@ -644,46 +643,46 @@ def _cv(spark, sf, learner):
 
 @register("gbt_cat")
 def q_gbt_cat(spark, sf):
-    return _cv(spark, sf, md.gbt_cat(MODEL_ROUNDS)).test.withColumnRenamed("p", "pctr")
+    return _cv(spark, sf, md.gbt_cat()).test.withColumnRenamed("p", "pctr")
 
 
 @register("gbt_lgb")
 def q_gbt_lgb(spark, sf):
-    return _cv(spark, sf, md.gbt_lgb(MODEL_ROUNDS)).test.withColumnRenamed("p", "pctr")
+    return _cv(spark, sf, md.gbt_lgb()).test.withColumnRenamed("p", "pctr")
 
 
 @register("gbt_xgb")
 def q_gbt_xgb(spark, sf):
-    return _cv(spark, sf, md.gbt_xgb(MODEL_ROUNDS)).test.withColumnRenamed("p", "pctr")
+    return _cv(spark, sf, md.gbt_xgb()).test.withColumnRenamed("p", "pctr")
 
 
 @register("predict_proba")
 def q_predict_proba(spark, sf):
     train, test, feats = _model_frames(spark, sf)
-    model = md.fit(md.gbt_lgb(MODEL_ROUNDS), md.assemble(train, feats))
+    model = md.fit(md.gbt_lgb(), md.assemble(train, feats))
     return md.predict_proba(model, md.assemble(test, feats), "pctr").select("log_id", "pctr")
 
 
 @register("cv_oof")
 def q_cv_oof(spark, sf):
-    return _cv(spark, sf, md.gbt_lgb(MODEL_ROUNDS)).oof
+    return _cv(spark, sf, md.gbt_lgb()).oof
 
 
 @register("cv_test_mean")
 def q_cv_test_mean(spark, sf):
-    return _cv(spark, sf, md.gbt_xgb(MODEL_ROUNDS)).test
+    return _cv(spark, sf, md.gbt_xgb()).test
 
 
 @register("cv_fold_scores")
 def q_cv_fold_scores(spark, sf):
-    r = _cv(spark, sf, md.gbt_lgb(MODEL_ROUNDS))
+    r = _cv(spark, sf, md.gbt_lgb())
     return ev.score_summary(r.scores)
 
 
 @register("fusion_stacking")
 def q_fusion_stacking(spark, sf):
     train, test, feats = _model_frames(spark, sf)
-    learners = [md.gbt_lgb(MODEL_ROUNDS), md.gbt_xgb(MODEL_ROUNDS), md.gbt_cat(MODEL_ROUNDS)]
+    learners = [md.gbt_lgb(), md.gbt_xgb(), md.gbt_cat()]
     res = fu.run_learners(learners, train, test, feats, parallelism=FOLD_PARALLELISM)
     names = list(res)
     oof = fu.oof_matrix(fu.long_predictions(res, "oof"), names)

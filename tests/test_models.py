@@ -56,3 +56,15 @@ def test_logistic_and_stacking_run(spark):
     assert len(preds) == 100 and all(0.0 <= p["p"] <= 1.0 for p in preds)
     avg = fu.average_probability(fu.long_predictions(res, "test_by_fold")).count()
     assert avg == 100
+
+
+def test_model_queries_use_every_feature_and_the_learners_rounds(spark, monkeypatch):
+    from clickwise.plans import catalog as ct
+    from conftest import SF_SMALL
+    want = set(ct.ctr_feature_frame(spark, SF_SMALL).columns) - {"log_id", "label", "istest", "ro"}
+    assert set(ct.MODEL_COLS) == want and len(want) > 490
+    learners = []
+    monkeypatch.setattr(ct, "_cv", lambda spark, sf, learner: learners.append(learner) or md.CVResult(*[spark.range(1).withColumn("p", F.lit(0.0))] * 4))
+    for q in (ct.q_gbt_cat, ct.q_gbt_lgb, ct.q_gbt_xgb):
+        q(spark, SF_SMALL)
+    assert {x.name: x.params["maxIter"] for x in learners} == {"cat": 20_000, "lgb": 100, "xgb": 100}
