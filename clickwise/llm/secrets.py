@@ -1,12 +1,12 @@
 """Secret scans: pattern findings, and a random forest that removes the false ones.
 
-A scanner with wide patterns (long runs of key characters with a digit, key prefixes, assignments to a name that tells)
-yields findings. Each is described by its length, the rates of change between character classes, its entropy, the share
+Three scanners with wide patterns (long runs of key characters with a digit; key prefixes; values of any length assigned to a
+name that tells, quoted or up to the next space) yield findings; overlapping ones are merged. Each is described by its length, the rates of change between character classes, its entropy, the share
 of it that dictionary words cover, the path (source) it was found in and its neighbouring words. A forest
 trained on labelled findings gives the probability that it is a secret.
 
 Labels: findings labelled by hand can be passed in (``labels``: value, secret). Without them, the labels are the
-strict formats (fixed-prefix keys, a high-entropy value assigned to a telling name) against findings that have another
+strict formats (fixed-prefix keys, a long mixed value assigned to a telling name) against findings that have another
 reading (a payment card, telephone number or address, a date, plain digits, a word).  At most ``fit_rows`` findings
 of each class, drawn by a seeded hash, are fitted on. If one class is missing there is no forest and the label decides.
 
@@ -44,10 +44,16 @@ THRESHOLD = 0.5
 TELLING = ("password", "passwd", "pwd", "secret", "token", "apikey", "api_key", "access_key", "auth", "credential", "private_key")
 PREFIXES = ("AKIA", "ASIA", "ghp_", "gho_", "github_pat_", "glpat-", "sk_live_", "xoxb-", "xoxp-", "AIza")
 
-_RUN = re.compile(r"[A-Za-z0-9_/+=.-]*[0-9][A-Za-z0-9_/+=.-]*")
+_PREFIXED = re.compile(f"(?:{'|'.join(map(re.escape, PREFIXES))})[A-Za-z0-9_/+=.-]+")
+# name, sign, value; possessive and anchored at the name's start, so that long runs are read once
+_ASSIGNED = re.compile(r"(?<![A-Za-z0-9_])([A-Za-z0-9_]++)[\"']?\s*+(?:=>|:=|[:=])\s*+")
+_TELLS = re.compile("|".join(TELLING), re.IGNORECASE)
+_QUOTED = re.compile(r"\"([^\"\n]+)\"|'([^'\n]+)'")
+_BARE = re.compile(r"(?:(?![&;,]\s?[A-Za-z_]+\s?[:=])[^\s\"'])+")  # ends before a next assignment
+_ADDRESS = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")
 _HAS_DIGIT = re.compile(r"[0-9]")
 _KEY_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_/+=.-")
-_NAME = re.compile(r"([A-Za-z_]+)\"?\s*[:=]\s*[\"']?\Z")
+_NAME = re.compile(r"([A-Za-z0-9_]+)[\"']?\s*(?:=>|:=|[:=])\s*[\"']?\Z")
 MIN_LENGTH = 12
 
 FEATURES = ["length", "digits", "upper", "lower", "signs", "hex_only", "entropy", "up_low", "low_up", "let_dig", "dig_let", "same",
@@ -66,8 +72,48 @@ def dictionary(path: str | None = None) -> frozenset:
     return _dictionaries[path]
 
 
+def prefixed(text: str) -> Iterator[tuple[int, int]]:
+    """Key prefixes and the key characters after them."""
+    for m in _PREFIXED.finditer(text):
+        e = m.start() + len(m.group().rstrip(".=-/"))
+        if e > m.start():
+            yield m.start(), e
+
+
+def assigned(text: str) -> Iterator[tuple[int, int]]:
+    """Values assigned to a telling name, of any length and with any characters."""
+    end = 0
+    for m in _ASSIGNED.finditer(text):
+        s = m.end()
+        if s < end or not _TELLS.search(m.group(1)):
+            continue
+        if q := _QUOTED.match(text, s):
+            s, e = q.span(q.lastindex)
+        else:
+            s += text[s:s + 1] in ("\"", "'")  # an opening quote without its end
+            v = _BARE.match(text, s)
+            e = s + len(v.group().rstrip(".,;:)]}>")) if v else s
+        if e > s:
+            yield s, e
+            end = e
+
+
 def candidates(text: str) -> Iterator[tuple[int, int]]:
-    """Runs of key characters with a digit, found from their digits (linear in long runs)."""
+    """The findings of all scanners in order; those that overlap are one."""
+    start = end = -1
+    for s, e in sorted([*runs(text), *prefixed(text), *assigned(text)]):
+        if s < end:
+            end = max(end, e)
+            continue
+        if end > 0:
+            yield start, end
+        start, end = s, e
+    if end > 0:
+        yield start, end
+
+
+def runs(text: str) -> Iterator[tuple[int, int]]:
+    """Long runs of key characters with a digit, found from their digits (linear in long runs)."""
     end = 0
     for m in _HAS_DIGIT.finditer(text):
         at = m.start()
@@ -118,19 +164,21 @@ def describe(text: str, s: int, e: int, path: str, words: frozenset) -> list[flo
             bucket(before[-1]) if before else -1.0, bucket(after[0]) if after else -1.0, bucket(path)]
 
 
-def weak_label(text: str, s: int, e: int) -> int | None:
+def weak_label(text: str, s: int, e: int, words: frozenset = frozenset()) -> int | None:
     """1: a strict format; 0: it has another reading; null: neither."""
     v = text[s:e]
+    if v.isalpha() and v.lower() in words:
+        return 0
     if any(v.startswith(p) and len(v) >= len(p) + 12 and v[len(p):].isalnum() for p in PREFIXES):
         return 1
     name = _NAME.search(text[max(0, s - 40):s])
     mixed = any(c.isdigit() for c in v) and any(c.isalpha() for c in v)
-    if name and any(t in name.group(1).lower() for t in TELLING) and mixed and "." not in v:
+    if name and any(t in name.group(1).lower() for t in TELLING) and mixed and len(v) >= MIN_LENGTH and "." not in v and not re.search(r"\s", v):
         return 1
     digits = re.sub(r"[^0-9]", "", v)
     if not any(c.isalpha() for c in v) and (len(digits) < 14 or luhn(digits) or "." in v or "-" in v):
         return 0
-    if "@" in text[max(0, s - 1):e + 1] or re.fullmatch(r"[A-Za-z0-9.-]+\.[A-Za-z]{2,}", v):
+    if "@" in text[max(0, s - 1):s] + text[e:e + 1] or _ADDRESS.fullmatch(v) or re.fullmatch(r"[A-Za-z0-9.-]+\.[A-Za-z]{2,}", v):
         return 0
     if not any(c.isalpha() for c in v):
         return 0
@@ -153,7 +201,7 @@ def findings(docs: DataFrame, vocabulary: str | None = None, id_col: str = "doc_
             rows = []
             for d, k, path, t in zip(*[c.to_pylist() for c in b.columns]):
                 for s, e in candidates(t) if t else ():
-                    rows.append((d, k, s, e, t[s:e], weak_label(t, s, e), *describe(t, s, e, path or "", words)))
+                    rows.append((d, k, s, e, t[s:e], weak_label(t, s, e, words), *describe(t, s, e, path or "", words)))
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * len(_SCHEMA), _SCHEMA)],
                                              schema=_SCHEMA)
 
