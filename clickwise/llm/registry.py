@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from clickwise.llm import exact, minhash, mix, pack, pii, quality, rans, secrets, shard, simhash
-from clickwise.llm.common import documents
+from clickwise.llm.common import documents, scratch_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -72,7 +72,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op6_simhash")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.neighbour_fingerprints(documents(spark, sf_dir))
+    found = scratch_table(simhash.neighbour_fingerprints(documents(spark, sf_dir)), "fingerprints")
+    return simhash.neighbours_in_radius(found, every=20, radius=3)
 
 
 @register("op7_secrets")

@@ -6,7 +6,8 @@ are the fingerprint; the share of equal bits is the likeness of two fingerprints
 
 Search: the 64 bits are cut into radius + SPARE blocks, and every choice of SPARE blocks makes a table keyed
 by their bits. Two fingerprints within the radius agree in at least SPARE whole blocks, so they meet in
-a table; each meeting is checked by its Hamming distance. Equal fingerprints are one entry.
+a table; each meeting is checked by its Hamming distance. Equal fingerprints are one entry. The query searches the
+documents whose doc_id is a multiple of 20 among all.
 
 Null and empty texts, and texts of white space alone, have no terms: fingerprint 0. Equal texts have equal fingerprints, so
 repeated rows do too. An empty table gives no rows. Only the id and text columns are read.
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from clickwise.llm.common import scratch_table, small_batches, text_key
+from clickwise.llm.common import maybe_broadcast, scratch_table, small_batches, text_key
 from clickwise.llm.words import Words, groups
 
 SPARE = 3
@@ -148,20 +149,42 @@ def neighbour_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: st
 
 def within_radius(prints: DataFrame, queries: DataFrame, radius: int = 3) -> DataFrame:
     """For each distinct query fingerprint, every distinct fingerprint within the radius: (query, fingerprint,
-    distance, rows). Both tables: a ``fingerprint`` column of 16 hex digits. The queries are a stated set; copies
-    (equal fingerprints) are counted before they are joined."""
+    distance, rows), and ``first_id``, the smallest doc_id that has it, if ``prints`` has a doc_id. Both tables: a
+    ``fingerprint`` column of 16 hex digits. The queries are a stated set; copies (equal fingerprints) are counted
+    before they are joined."""
     blocks = radius + SPARE
     cuts = [64 * i // blocks for i in range(blocks + 1)]
     masks = [sum(((1 << (cuts[i + 1] - cuts[i])) - 1) << cuts[i] for i in c) for c in combinations(range(blocks), SPARE)]
     signed = [m - (1 << 64) if m >> 63 else m for m in masks]
     as_long = F.expr("cast(conv(fingerprint, 16, -10) as long)")
+    ids = [F.min("doc_id").alias("first_id")] if "doc_id" in prints.columns else []
 
     def keyed(df: DataFrame, name: str) -> DataFrame:
-        tables = F.posexplode(F.array(*[F.col(name).bitwiseAND(F.lit(m)) for m in signed])).alias("table", "block")
-        return df.select("*", tables)
-
-    rows = keyed(prints.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("rows")).withColumn("_f", as_long), "_f")
-    asked = keyed(queries.select("fingerprint").distinct().select(F.col("fingerprint").alias("query"), as_long.alias("_q")), "_q")
-    distance = F.bit_count(F.col("_f").bitwiseXOR(F.col("_q")))
-    met = asked.join(rows, ["table", "block"]).withColumn("distance", distance).where(F.col("distance") <= radius)
-    return met.select("query", "fingerprint", F.col("distance").cast("int").alias("distance"), "rows").distinct()
+        # one key of the table and its block; keys that clash only make meetings that the distance refuses
+        keys = F.posexplode(F.array(*[F.xxhash64(F.lit(i), F.col(name).bitwiseAND(F.lit(m))) for i, m in enumerate(signed)]))
+        return df.select("*", keys.alias("table", "_block"))
+
+    copies = prints.groupBy(as_long.alias("_f")).agg(F.count(F.lit(1)).alias("rows"), *ids)
+    rows = keyed(copies, "_f").drop("table")
+    asked = keyed(queries.select(as_long.alias("_q")).distinct(), "_q")
+    differ = F.col("_f").bitwiseXOR(F.col("_q"))
+    # a pair that agrees in several tables counts in the first of them only
+    first = F.coalesce(*[F.when(differ.bitwiseAND(F.lit(m)) == 0, F.lit(i)) for i, m in enumerate(signed)])
+    met = maybe_broadcast(scratch_table(asked, "queries")).join(
+        rows.withColumnRenamed("_block", "_at"), (F.col("_block") == F.col("_at")) & (F.bit_count(differ) <= radius) & (first == F.col("table")))
+    hexa = lambda c: F.lower(F.lpad(F.hex(c), 16, "0"))
+    return met.select(hexa("_q").alias("query"), hexa("_f").alias("fingerprint"), F.bit_count(differ).cast("int").alias("distance"), "rows",
+                      *["first_id" for _ in ids])
+
+
+def neighbours_in_radius(found: DataFrame, every: int = 20, radius: int = 3) -> DataFrame:
+    """The rows of :func:`neighbour_fingerprints` (stored) with what the search finds for the documents whose doc_id is a
+    multiple of ``every``: rows_within (other rows within the radius), nearest (the smallest distance of one of them, null
+    if there is none), first_within (smallest doc_id within the radius, its own counted). All others have nulls."""
+    is_query = F.coalesce(F.pmod(F.col("doc_id"), F.lit(every)) == 0, F.lit(False))
+    met = within_radius(found.select("doc_id", "fingerprint"), found.where(is_query), radius)
+    other = F.when((F.col("distance") > 0) | (F.col("rows") > 1), F.col("distance"))
+    per_query = met.groupBy("query").agg((F.sum("rows") - 1).alias("rows_within"), F.min(other).alias("nearest"),
+                                         F.min("first_id").alias("first_within"))
+    per_query = maybe_broadcast(scratch_table(per_query, "within"))
+    return found.join(per_query, is_query & (F.col("fingerprint") == F.col("query")), "left").drop("query")

@@ -260,6 +260,23 @@ def test_block_tables_find_all_within_the_radius(spark, radius):
     assert got == {(q, p, copies[p]) for q in set(base) for p in copies if (p ^ q).bit_count() <= radius}
 
 
+def test_query_searches_documents_within_the_radius(spark, docs, local, odd):
+    from clickwise.llm import registry
+    got = registry.op6(spark, SF).toPandas().set_index("doc_id")
+    prints = dict(zip(local.doc_id, simhash.fingerprints(local.text.tolist())))
+    assert len(got) == len(local)
+    for d, row in got.iterrows():
+        near = {o: (prints[o] ^ prints[d]).bit_count() for o in prints if (prints[o] ^ prints[d]).bit_count() <= 3} if d % 20 == 0 else None
+        if near is None:
+            assert np.isnan(row.rows_within) and np.isnan(row.nearest) and np.isnan(row.first_within)
+        else:
+            others = [x for o, x in near.items() if o != d]
+            assert row.rows_within == len(others) and row.first_within == min(near)
+            assert row.nearest == min(others) if others else np.isnan(row.nearest)
+    n = odd.count()
+    assert simhash.neighbours_in_radius(simhash.neighbour_fingerprints(odd)).count() == n
+
+
 def test_secrets_are_told_from_other_runs(spark, make):
     rng = random.Random(2)
     hexa = lambda k: "".join(rng.choice("0123456789abcdef") for _ in range(k))
