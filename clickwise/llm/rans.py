@@ -1,7 +1,9 @@
 """Token files coded with a static range asymmetric numeral system (rANS).
 
-Format. A file set is a folder of Parquet files with one row per block, in ascending (part, block) order; a
-part covers a range of doc_ids. The payload of a block is this module's own stream:
+Format. A file set is a folder of two folders of Parquet files. ``blocks`` has one row per block, in ascending (part, block)
+order; a part covers a range of doc_ids. ``table`` has the frequency table: one row an id that occurs (id, frequency) and one row
+without an id, each with the precision, the end id and the CRC-32 of all ids and frequencies; it is all that a reader
+needs besides the blocks. The payload of a block is this module's own stream:
 
 * one frequency table for the whole set, counted over all tokens and scaled to 2**PRECISION;
 * ``lanes`` interleaved coders: token i belongs to lane i % lanes; 64-bit states, 32-bit words;
@@ -43,6 +45,9 @@ CODED = ("part int, block int, doc_ids array<long>, lengths array<int>, n_tokens
 DECODED = "doc_id long, part int, block int, at long, n_tokens long, ids_crc32 long"
 
 
+TABLE = "id int, frequency long, precision int, end_id int, crc32 long"
+
+
 class Table:
     """Scaled frequencies by id (0: does not occur), their running sums, and the id of every slot."""
 
@@ -59,9 +64,20 @@ class Table:
         self.freq = np.where(exact > 0, np.array(share, np.int64) + 1, 0).astype(np.uint64)
         if total:
             self.freq[int(exact.argmax())] += _U(room - int(self.freq.sum()))
+        self._index()
+
+    def _index(self) -> None:
         self.start = np.concatenate([[0], np.cumsum(self.freq)[:-1]]).astype(np.uint64)
         self._symbol = None
 
+    @classmethod
+    def of_frequencies(cls, freq: np.ndarray) -> "Table":
+        """The table with these scaled frequencies, as they were stored."""
+        table = cls.__new__(cls)
+        table.freq = freq.astype(np.uint64)
+        table._index()
+        return table
+
     @property
     def symbol(self) -> np.ndarray:
         if self._symbol is None:
@@ -139,9 +155,37 @@ def _bounds(docs: DataFrame, id_col: str, parts: int) -> np.ndarray:
     return np.array(sorted(set(got or [])), np.int64)
 
 
+def _table_crc32(ids: np.ndarray, freq: np.ndarray) -> int:
+    return zlib.crc32(freq.astype("<u8").tobytes(), zlib.crc32(ids.astype("<u4").tobytes()))
+
+
+def write_table(spark: SparkSession, table: Table, path: str, end_id: int | None) -> None:
+    """Store the frequency table; at most one row for each id of the vocabulary, and the one without an id."""
+    ids = np.flatnonzero(table.freq)
+    crc = _table_crc32(ids, table.freq[ids])
+    rows = [(None, None, PRECISION, end_id, crc), *[(int(i), int(table.freq[i]), PRECISION, end_id, crc) for i in ids]]
+    spark.createDataFrame(rows, TABLE).coalesce(1).write.parquet(path)
+
+
+def read_table(spark: SparkSession, path: str) -> Table:
+    """The stored frequency table; one that does not match its checksum or this coder's precision is refused."""
+    rows = spark.read.schema(TABLE).parquet(path).collect()
+    if len({(r["precision"], r["end_id"], r["crc32"]) for r in rows}) != 1:
+        raise ValueError("the frequency table is not whole")
+    if rows[0]["precision"] != PRECISION:
+        raise ValueError(f"the frequency table has the precision {rows[0]['precision']}, this coder {PRECISION}")
+    pairs = sorted((r["id"], r["frequency"]) for r in rows if r["id"] is not None)
+    ids, freq = np.array([p[0] for p in pairs], np.int64), np.array([p[1] for p in pairs], np.int64)
+    if _table_crc32(ids, freq) != rows[0]["crc32"]:
+        raise ValueError("the frequency table does not match its checksum")
+    full = np.zeros(int(ids.max(initial=0)) + 1, np.int64)
+    full[ids] = freq
+    return Table.of_frequencies(full)
+
+
 def write_tokens(docs: DataFrame, path: str, vocabulary: str | None = None, end_id: int | None = END_ID,
                  id_col: str = "doc_id", text_col: str = "text", block_tokens: int = BLOCK_TOKENS) -> Table:
-    """Encode all documents and write the file set at ``path`` (any folder that Spark can write)."""
+    """Encode all documents and write the file set, blocks and table, at ``path`` (any folder that Spark can write)."""
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     bounds = _bounds(docs, id_col, parts)
@@ -194,7 +238,8 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str | None = None, end_
                 coded = encode_block(np.frombuffer(row.pop("ids"), "<u4"), shared.value)
                 yield pa.RecordBatch.from_pylist([row | coded], schema=_CODED_ARROW)
 
-    raw.mapInArrow(code, CODED).write.parquet(path)
+    raw.mapInArrow(code, CODED).write.parquet(f"{path}/blocks")
+    write_table(spark, table, f"{path}/table", end_id)
     return table
 
 
@@ -222,11 +267,12 @@ def token_counts(raw: DataFrame) -> dict[int, int]:
     return {r["id"]: r["n"] for r in counted.collect()}
 
 
-def read_tokens(spark: SparkSession, path: str, table: Table) -> DataFrame:
-    """One row per document from the file set: doc_id, start, n_tokens, ids_crc32."""
+def read_tokens(spark: SparkSession, path: str, table: Table | None = None) -> DataFrame:
+    """One row per document from the file set: doc_id, start, n_tokens, ids_crc32. The frequency table is the stored one
+    unless it is given."""
     small_batches(spark)
-    blocks = spark.read.schema(CODED).parquet(path)
-    shared = spark.sparkContext.broadcast(table)
+    blocks = spark.read.schema(CODED).parquet(f"{path}/blocks")
+    shared = spark.sparkContext.broadcast(table or read_table(spark, f"{path}/table"))
     decoded_schema = pa.schema([("doc_id", pa.int64()), ("part", pa.int32()), ("block", pa.int32()), ("at", pa.int64()),
                                 ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
 
@@ -257,7 +303,8 @@ def read_tokens(spark: SparkSession, path: str, table: Table) -> DataFrame:
 
 
 def token_files(docs: DataFrame, path: str | None = None, vocabulary: str | None = None) -> DataFrame:
-    """Write the file set (in the shared scratch folder unless ``path`` is given) and read it back."""
+    """Write the file set (in the shared scratch folder unless ``path`` is given) and read it back from its files alone."""
     spark = docs.sparkSession
     path = path or scratch_path(spark, "token-files")
-    return read_tokens(spark, path, write_tokens(docs, path, vocabulary))
+    write_tokens(docs, path, vocabulary)
+    return read_tokens(spark, path)

@@ -367,6 +367,20 @@ def test_token_files_are_in_id_order(spark, docs, local, tmp_path):
     assert got.ids_crc32.tolist() == [zlib.crc32(x.tobytes()) for x in ids]
 
 
+def test_token_files_are_read_from_the_files_alone(spark, docs, tmp_path):
+    path = str(tmp_path / "set")
+    table = rans.write_tokens(docs, path, block_tokens=5000)
+    stored = rans.read_table(spark, f"{path}/table")
+    assert (stored.freq == table.freq).all() and (stored.start == table.start).all()
+    want = sorted(map(tuple, rans.read_tokens(spark, path, table).collect()))
+    assert sorted(map(tuple, rans.read_tokens(spark, path).collect())) == want and want
+    rows = spark.read.parquet(f"{path}/table")
+    rows.withColumn("frequency", F.col("frequency") + (F.col("id") == 5).cast("long")).write.parquet(f"{path}/damaged")
+    assert rows.where("id = 5").count() == 1
+    with pytest.raises(ValueError):
+        rans.read_table(spark, f"{path}/damaged")
+
+
 def test_mixture_is_whole_and_within_a_block(spark, make):
     texts = [f"t{i}" for i in range(700)]
     docs = make(texts).withColumn("source", F.expr("CASE WHEN doc_id < 400 THEN 'src0' WHEN doc_id < 600 THEN 'src1' WHEN doc_id % 2 = 0 THEN 'other' END"))
