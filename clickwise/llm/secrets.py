@@ -8,7 +8,7 @@ trained on labelled findings gives the probability that it is a secret.
 Labels: findings labelled by hand can be passed in (``labels``: value, secret). Without them, the labels are the
 strict formats (fixed-prefix keys, a long mixed value assigned to a telling name) against findings that have another
 reading (a payment card, telephone number or address, a date, plain digits, a word).  At most ``fit_rows`` findings
-of each class, drawn by a seeded hash, are fitted on. If one class is missing there is no forest and the label decides.
+of each class, drawn by a seeded hash, are fitted on. If one class is missing there is no forest: the label decides, and a finding without one has a null probability and is no secret.
 
 Null texts count as empty; empty texts have no findings. Repeated rows are scanned each for themselves. An empty table gives no
 rows. Only the id, path and text columns are read. Offsets count code points.
@@ -218,7 +218,12 @@ def score_findings(found: DataFrame, labels: DataFrame | None = None, fit_rows:
     sizes = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
     if min(n1, n0) == 0:
-        return found.withColumn("probability", F.coalesce(F.col("weak"), F.lit(1)).cast("double")).withColumn("secret", F.col("probability") >= THRESHOLD)
+        label = F.col("weak")
+        if labels is not None:
+            given = labels.groupBy("value").agg(F.max(F.col("secret").cast("int")).alias("_given"))
+            found, label = found.join(given, "value", "left"), F.col("_given")
+        scored = found.withColumn("probability", label.cast("double")).drop("_given")
+        return scored.withColumn("secret", F.coalesce(F.col("probability") >= THRESHOLD, F.lit(False)))
     pick = F.pmod(F.xxhash64(F.lit(SEED), "doc_id", "start", "value"), F.lit(1 << 30)) < F.when(
         F.col("label") == 1, int((1 << 30) * min(1.0, fit_rows / n1))).otherwise(int((1 << 30) * min(1.0, fit_rows / n0)))
     forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, labelCol="label", featuresCol="described",

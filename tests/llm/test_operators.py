@@ -304,6 +304,15 @@ def test_findings_without_a_class_follow_the_label(make):
     assert got.n_secrets.to_dict() == {0: 1, 1: 0}
 
 
+def test_findings_without_forest_and_label_are_no_secrets(spark, make):
+    texts = ["build 6cfd1f1f244d4c4c327ecfd8fd9898497c475388 is out", "run 0f8fad5b-d9cb-469f-a165-70867728950e again", "no run"]
+    got = secrets.scan_rows(make(texts)).toPandas().set_index("doc_id").sort_index()
+    assert got.n_findings.tolist() == [1, 1, 0] and got.n_secrets.tolist() == [0, 0, 0]
+    given = spark.createDataFrame([("6cfd1f1f244d4c4c327ecfd8fd9898497c475388", True)], "value string, secret boolean")
+    got = secrets.scan_rows(make(texts), given).toPandas().set_index("doc_id").sort_index()
+    assert got.n_secrets.tolist() == [1, 0, 0]
+
+
 def test_quality_on_held_out_rows(spark):
     d = "/root/testdata/sf0.01"
     scored = quality.score_rows(common.documents(spark, d), spark.read.parquet(f"{d}/labels.parquet"))
