@@ -12,9 +12,11 @@ from clickwise.operators import crossdomain as xd
 from clickwise.queries import register, round_doubles
 from clickwise.sources import analog
 
-NUNI_COLS = ["l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
-             "o_orderpriority", "e_et"]
-MEAN_COLS = ["l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_tax", "e_et", "label"]
+# All columns of the feed role that the reference's rules leave in (all but the key, the label and the split; for means the numeric ones).
+NUNI_COLS = ["l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
+             "l_shipdate", "o_orderstatus", "o_totalprice", "o_orderpriority", "e_et"]
+MEAN_COLS = ["l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate", "o_totalprice", "e_et",
+             "label"]
 
 
 def _nuni_sql(prefix: str = "") -> str:
@@ -23,7 +25,7 @@ def _nuni_sql(prefix: str = "") -> str:
 
 # Means of integer columns are one exact division in both engines and are compared unrounded (DuckDB's
 # round() is not exact at 1e11 magnitudes); means of double columns are rounded to 6 places on both sides.
-MEAN_INT_COLS = ["l_partkey", "l_suppkey", "e_et", "label"]
+MEAN_INT_COLS = ["l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_shipdate", "o_totalprice", "e_et", "label"]
 EXACT_MEANS = [c + "_feeds_mean" for c in MEAN_INT_COLS]
 
 
@@ -442,8 +444,7 @@ def q_submission_roundtrip(spark, sf):
     f"SELECT '{c}' AS col_name, CASE any_value(typeof({c})) WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' "
     f"WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string' END AS dtype, count({c}) AS non_null FROM ads"
     for c in ["log_id", "label", "user_id", "adv_id", "task_id", "adv_prim_id", "creat_type_cd", "inter_type_cd",
-              "slot_id", "site_id", "spread_app_id", "app_score", "ad_click_list_v001", "u_newsCatInterestsST",
-              "pt_d", "istest", "ro"]))
+              "slot_id", "site_id", "spread_app_id", "app_score", *analog.LIST_COLUMNS, "pt_d", "istest", "ro"]))
 def q_profile_table(spark, sf):
     return sio.profile(analog.ads(spark, sf))
 
@@ -573,8 +574,7 @@ from clickwise.plans import features as ft  # noqa: E402
 
 DOUBLE_MEANS = [c + "_feeds_mean" for c in MEAN_COLS if c not in MEAN_INT_COLS]
 _ADS_OUT = ["log_id", "label", "user_id", "adv_id", "task_id", "adv_prim_id", "creat_type_cd", "inter_type_cd",
-            "slot_id", "site_id", "spread_app_id", "app_score", "ad_click_list_v001", "u_newsCatInterestsST", "pt_d",
-            "istest", "ro"]
+            "slot_id", "site_id", "spread_app_id", "app_score", *analog.LIST_COLUMNS, "pt_d", "istest", "ro"]
 _GAP_OUT = [c for ks in analog.GAP_KEY_SETS for c in gp.feature_names(ks)]
 _CROSS_OUT = [c + "_feeds_nuni" for c in NUNI_COLS] + [c + "_feeds_mean" for c in MEAN_COLS]
 
@@ -609,36 +609,45 @@ def q_ctr_features(spark, sf):
 # ---------------------------------------------------------------- learners, cross-validation, fusion
 
 from clickwise.plans import fusion as fu  # noqa: E402
+from clickwise.plans import logistic as lg  # noqa: E402
 from clickwise.plans import models as md  # noqa: E402
+from clickwise.plans import submission as sub  # noqa: E402
 from clickwise.session import cut_lineage  # noqa: E402
 
 #: Every column of the feature table but the row's id, its ordinal, the label and the split.
 MODEL_COLS = ([c for c in _ADS_OUT if c not in ("log_id", "label", "istest", "ro")] + _CROSS_OUT
               + ["month", "day", "hour", "minu", "date"] + _GAP_OUT)
-FOLD_PARALLELISM = 5  # fold fits are independent jobs; submit them together
 
+def _stored_features(spark, sf):
+    """The feature table, stored once: bins, folds and codes read it."""
+    return cut_lineage(ctr_feature_frame(spark, sf).select("log_id", "label", "istest", *MODEL_COLS))
 
-def _model_frames(spark, sf, missing="sentinel"):
-    """(train, test, feature list) over the whole feature table, nulls filled. The table is stored once: the
-    fill statistics, the folds and every learner read it."""
-    base = cut_lineage(ctr_feature_frame(spark, sf).select("log_id", "label", "istest", *MODEL_COLS))
-    prepared, feats = md.prepare(base, MODEL_COLS, missing, fit_on=base.where("istest = 0"))
-    return prepared.where("istest = 0"), prepared.where("istest = 1"), feats
+
+def _quantised(spark, sf):
+    base = _stored_features(spark, sf)
+    return md.quantise(base.where("istest = 0"), base.where("istest = 1"), MODEL_COLS)
+
+
+def _lr_frames(spark, sf):
+    """(train sample, test) of the logistic baseline, nulls filled with the sample's means."""
+    a = analog.ads(spark, sf)
+    train = cut_lineage(smp.sample_per_class(a.where("istest = 0"), "label", SAMPLE_SIZES).select("log_id", "label", *analog.PROFILE_COLUMNS))
+    test = md.fill_mean(a.where("istest = 1").select("log_id", *analog.PROFILE_COLUMNS), analog.PROFILE_COLUMNS, train)
+    return md.fill_mean(train, analog.PROFILE_COLUMNS), test
+
+
+def _lr_model(train):
+    return lg.fit_logistic(train, analog.PROFILE_COLUMNS)
 
 
 @register("lr_baseline")
 def q_lr_baseline(spark, sf):
-    a = analog.ads(spark, sf)
-    train = smp.sample_per_class(a.where("istest = 0"), "label", SAMPLE_SIZES)
-    test, feats = md.prepare(a.where("istest = 1"), analog.PROFILE_COLUMNS, "mean", flags=False, fit_on=train)
-    train, _ = md.prepare(train, analog.PROFILE_COLUMNS, "mean", flags=False)
-    model = md.fit(md.logistic(), md.assemble(train, feats))
-    return md.predict_proba(model, md.assemble(test, feats), "pctr").select("log_id", "pctr")
+    train, test = _lr_frames(spark, sf)
+    return md.predict_proba(_lr_model(train), test, "pctr").select("log_id", "pctr")
 
 
 def _cv(spark, sf, learner):
-    train, test, feats = _model_frames(spark, sf)
-    return md.cv_model(learner, train, test, feats, parallelism=FOLD_PARALLELISM)
+    return md.cv_quantised(learner, _quantised(spark, sf))
 
 
 @register("gbt_cat")
@@ -658,9 +667,8 @@ def q_gbt_xgb(spark, sf):
 
 @register("predict_proba")
 def q_predict_proba(spark, sf):
-    train, test, feats = _model_frames(spark, sf)
-    model = md.fit(md.gbt_lgb(), md.assemble(train, feats))
-    return md.predict_proba(model, md.assemble(test, feats), "pctr").select("log_id", "pctr")
+    q = _quantised(spark, sf)
+    return md.predict_proba(md.boost(q.train, q.bins, md.gbt_lgb(), [None]), q, "pctr")
 
 
 @register("cv_oof")
@@ -670,7 +678,10 @@ def q_cv_oof(spark, sf):
 
 @register("cv_test_mean")
 def q_cv_test_mean(spark, sf):
-    return _cv(spark, sf, md.gbt_xgb()).test
+    """Each fold model's prediction of a test row beside their mean."""
+    r = _cv(spark, sf, md.gbt_xgb())
+    folds = r.test_by_fold.groupBy("log_id").pivot("fold", list(range(5))).agg(F.first("p"))
+    return r.test.join(folds, "log_id").select("log_id", F.col("p").alias("pctr"), *[F.col(str(i)).alias(f"fold_{i}") for i in range(5)])
 
 
 @register("cv_fold_scores")
@@ -679,16 +690,44 @@ def q_cv_fold_scores(spark, sf):
     return ev.score_summary(r.scores)
 
 
+def _learners(spark, sf):
+    """All three learners cross-validated on the same folds and codes, and the labels of the train rows."""
+    base = _stored_features(spark, sf)
+    train = base.where("istest = 0")
+    res = fu.run_learners([md.gbt_lgb(), md.gbt_xgb(), md.gbt_cat()], train, base.where("istest = 1"), MODEL_COLS)
+    return res, train.select("log_id", "label")
+
+
 @register("fusion_stacking")
 def q_fusion_stacking(spark, sf):
-    train, test, feats = _model_frames(spark, sf)
-    learners = [md.gbt_lgb(), md.gbt_xgb(), md.gbt_cat()]
-    res = fu.run_learners(learners, train, test, feats, parallelism=FOLD_PARALLELISM)
-    names = list(res)
-    oof = fu.oof_matrix(fu.long_predictions(res, "oof"), names)
-    tst = fu.oof_matrix(fu.long_predictions(res, "test"), names)
-    stacked = fu.stack_model(oof, tst, names, train.select("log_id", "label"), parallelism=FOLD_PARALLELISM)
-    return stacked.test.withColumnRenamed("p", "pctr")
+    res, labels = _learners(spark, sf)
+    return fu.stacked(res, labels).test.withColumnRenamed("p", "pctr")
+
+
+@register("fusion_fitted")
+def q_fusion_fitted(spark, sf):
+    """Mean of the 15 fitted models (3 learners, 5 folds) of each test row, with every learner's own mean."""
+    res, _ = _learners(spark, sf)
+    long = fu.long_predictions(res)
+    means = fu.oof_matrix(fu.long_predictions(res, "test"), list(res))
+    return fu.average_probability(long).join(means, "log_id")
+
+
+@register("fusion_fold_scores")
+def q_fusion_fold_scores(spark, sf):
+    """AUC of every learner and of the meta-model on every fold."""
+    res, labels = _learners(spark, sf)
+    return fu.fold_scores(res | {"stack": fu.stacked(res, labels)})
+
+
+def submission_inputs(spark, sf):
+    return ctr_feature_frame(spark, sf).select("log_id", "label", "istest", *MODEL_COLS), MODEL_COLS
+
+
+@register("pipeline_submission")
+def q_pipeline_submission(spark, sf):
+    """The whole run: the rows of the submission file, read back."""
+    return sub.run(*submission_inputs(spark, sf)).submission
 
 
 # Deterministic stand-in predictions: learner L, fold i -> (column mod 97 + i) / 100, so fusion

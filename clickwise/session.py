@@ -8,7 +8,9 @@ checkpoint folder from the session configuration.
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -93,3 +95,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` into the shared checkpoint folder (reliable, survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once for an application, so that their Python workers find it."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _shipped:
+        root = Path(__file__).resolve().parent
+        folder = tempfile.mkdtemp(prefix="clickwise-boosting-")  # on the driver; Spark sends the file from there
+        sc.addPyFile(shutil.make_archive(f"{folder}/clickwise_package", "zip", root.parent, root.name))
+        _shipped.add(sc.applicationId)

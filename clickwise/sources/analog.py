@@ -36,8 +36,10 @@ GAP_KEY_SETS = [
     ["user_id", "site_id"], ["user_id", "spread_app_id"],
 ]
 
-# Columns encoded by first appearance (the ^-joined list columns of the real log).
-LIST_COLUMNS = ["ad_click_list_v001", "u_newsCatInterestsST"]
+# Columns encoded by first appearance: the seven ^-joined list columns of the real log. Their values here come from the
+# ids and the props of an event, never from its type, which is the label.
+LIST_COLUMNS = ["ad_click_list_v001", "ad_click_list_v002", "ad_click_list_v003", "ad_close_list_v001", "ad_close_list_v002",
+                "ad_close_list_v003", "u_newsCatInterestsST"]
 
 # Raw profile columns used by the logistic baseline.
 PROFILE_COLUMNS = ["adv_id", "task_id", "creat_type_cd", "adv_prim_id", "inter_type_cd", "slot_id",
@@ -55,6 +57,9 @@ def ads(spark: SparkSession, sf_dir: str) -> DataFrame:
     istest = (F.col("event_id") % TEST_EVERY == TEST_EVERY - 1).cast("int")
     ro = F.expr(f"CASE WHEN event_id % {TEST_EVERY} = {TEST_EVERY - 1} THEN {ORDINAL_SPLIT_OFFSET}L ELSE 0L END"
                 f" + event_id % {ORDINAL_LOW} * {ORDINAL_MULTIPLIER} % {ORDINAL_LOW} * {ORDINAL_HIGH}L + event_id div {ORDINAL_LOW}")
+
+    def text(*cols: Column) -> list[Column]:
+        return [c.cast("string") for c in cols]
     return ev.select(
         F.col("event_id").alias("log_id"),
         F.when(istest == 0, (F.col("event_type") == "click").cast("int")).alias("label"),
@@ -69,7 +74,12 @@ def ads(spark: SparkSession, sf_dir: str) -> DataFrame:
         ((k * 7) % 13).alias("spread_app_id"),
         F.col("value").alias("app_score"),
         F.col("props").alias("ad_click_list_v001"),
-        F.nullif(F.col("event_type"), F.lit("error")).alias("u_newsCatInterestsST"),
+        F.concat_ws("^", *text(k % 17, k % 5)).alias("ad_click_list_v002"),
+        F.when(k % 6 != 0, *text(F.col("event_id") % 11)).alias("ad_click_list_v003"),
+        F.concat_ws("^", *text(F.col("event_id") % 13, k % 3)).alias("ad_close_list_v001"),
+        F.when(F.col("event_id") % 9 != 0, *text(k % 23)).alias("ad_close_list_v002"),
+        F.concat_ws("^", *text(F.col("user_id") % 19, k % 2)).alias("ad_close_list_v003"),
+        F.when(k % 8 != 0, F.concat_ws("^", *text(k % 12, F.col("user_id") % 4, F.col("event_id") % 2))).alias("u_newsCatInterestsST"),
         pack_time(F.col("ts")).alias("pt_d"),
         istest.alias("istest"),
         ro.alias("ro"),
@@ -85,11 +95,16 @@ def feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_custkey").alias("u_userId"),
         F.col("l_partkey"),
         F.col("l_suppkey"),
+        F.col("l_linenumber"),
         F.col("l_quantity"),
+        F.round(F.col("l_extendedprice") * 100).cast("long").alias("l_extendedprice"),  # in cents
         F.col("l_discount"),
         F.col("l_tax"),
         F.col("l_returnflag"),
         F.col("l_linestatus"),
+        pack_time(F.col("l_shipdate")).alias("l_shipdate"),
+        F.col("o_orderstatus"),
+        F.round(F.col("o_totalprice") * 100).cast("long").alias("o_totalprice"),
         F.col("o_orderpriority"),
         pack_time(F.col("o_orderdate")).alias("e_et"),
         (F.col("l_returnflag") == "R").cast("int").alias("label"),
@@ -101,27 +116,34 @@ ADS_SQL = f"""
 SELECT event_id AS log_id,
        CASE WHEN event_id % {TEST_EVERY} <> {TEST_EVERY - 1} THEN CAST(event_type = 'click' AS INTEGER) END AS label,
        user_id,
-       CAST(json_extract_string(props, '$.k') AS INTEGER) AS adv_id,
-       CAST(floor(CAST(json_extract_string(props, '$.k') AS INTEGER) / 5) AS INTEGER) AS task_id,
-       CAST(floor(CAST(json_extract_string(props, '$.k') AS INTEGER) / 10) AS INTEGER) AS adv_prim_id,
-       CAST(json_extract_string(props, '$.k') AS INTEGER) % 4 AS creat_type_cd,
+       k AS adv_id,
+       CAST(floor(k / 5) AS INTEGER) AS task_id,
+       CAST(floor(k / 10) AS INTEGER) AS adv_prim_id,
+       k % 4 AS creat_type_cd,
        CAST(event_id % 3 AS INTEGER) AS inter_type_cd,
        CAST(event_id % 7 AS INTEGER) AS slot_id,
        CAST(event_id % 2 AS INTEGER) AS site_id,
-       (CAST(json_extract_string(props, '$.k') AS INTEGER) * 7) % 13 AS spread_app_id,
+       (k * 7) % 13 AS spread_app_id,
        value AS app_score,
        props AS ad_click_list_v001,
-       nullif(event_type, 'error') AS u_newsCatInterestsST,
+       concat_ws('^', k % 17, k % 5) AS ad_click_list_v002,
+       CASE WHEN k % 6 <> 0 THEN CAST(event_id % 11 AS VARCHAR) END AS ad_click_list_v003,
+       concat_ws('^', event_id % 13, k % 3) AS ad_close_list_v001,
+       CASE WHEN event_id % 9 <> 0 THEN CAST(k % 23 AS VARCHAR) END AS ad_close_list_v002,
+       concat_ws('^', user_id % 19, k % 2) AS ad_close_list_v003,
+       CASE WHEN k % 8 <> 0 THEN concat_ws('^', k % 12, user_id % 4, event_id % 2) END AS u_newsCatInterestsST,
        CAST(strftime(ts, '%Y%m%d%H%M') AS BIGINT) AS pt_d,
        CAST(event_id % {TEST_EVERY} = {TEST_EVERY - 1} AS INTEGER) AS istest,
        CAST(event_id % {TEST_EVERY} = {TEST_EVERY - 1} AS BIGINT) * {ORDINAL_SPLIT_OFFSET}
          + event_id % {ORDINAL_LOW} * {ORDINAL_MULTIPLIER} % {ORDINAL_LOW} * {ORDINAL_HIGH} + event_id // {ORDINAL_LOW} AS ro
-FROM events
+FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)
 """
 
 FEEDS_SQL = f"""
-SELECT o.o_custkey AS u_userId, l.l_partkey, l.l_suppkey, l.l_quantity, l.l_discount, l.l_tax,
-       l.l_returnflag, l.l_linestatus, o.o_orderpriority,
+SELECT o.o_custkey AS u_userId, l.l_partkey, l.l_suppkey, l.l_linenumber, l.l_quantity,
+       CAST(round(l.l_extendedprice * 100) AS BIGINT) AS l_extendedprice, l.l_discount, l.l_tax,
+       l.l_returnflag, l.l_linestatus, CAST(strftime(l.l_shipdate, '%Y%m%d%H%M') AS BIGINT) AS l_shipdate,
+       o.o_orderstatus, CAST(round(o.o_totalprice * 100) AS BIGINT) AS o_totalprice, o.o_orderpriority,
        CAST(strftime(o.o_orderdate, '%Y%m%d%H%M') AS BIGINT) AS e_et,
        CAST(l.l_returnflag = 'R' AS INTEGER) AS label,
        CAST(l.l_orderkey % {TEST_EVERY} = {TEST_EVERY - 1} AS INTEGER) AS istest

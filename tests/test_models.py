@@ -64,7 +64,69 @@ def test_model_queries_use_every_feature_and_the_learners_rounds(spark, monkeypa
     want = set(ct.ctr_feature_frame(spark, SF_SMALL).columns) - {"log_id", "label", "istest", "ro"}
     assert set(ct.MODEL_COLS) == want and len(want) > 490
     learners = []
-    monkeypatch.setattr(ct, "_cv", lambda spark, sf, learner: learners.append(learner) or md.CVResult(*[spark.range(1).withColumn("p", F.lit(0.0))] * 4))
+    monkeypatch.setattr(ct, "_cv", lambda spark, sf, learner: learners.append(learner) or md.CVResult(*[spark.range(1).withColumn("p", F.lit(0.0))] * 4, []))
     for q in (ct.q_gbt_cat, ct.q_gbt_lgb, ct.q_gbt_xgb):
         q(spark, SF_SMALL)
-    assert {x.name: x.params["maxIter"] for x in learners} == {"cat": 20_000, "lgb": 100, "xgb": 100}
+    assert {x.name: x.rounds for x in learners} == {"cat": 20_000, "lgb": 100, "xgb": 100}
+    assert {x.name: x.patience for x in learners} == {"cat": 50, "lgb": None, "xgb": None}
+
+
+def test_no_single_input_separates_the_label(spark):
+    """Each raw input's best AUC (either direction, values ordered by their click rate on other rows) stays near chance."""
+    from clickwise.sources import analog
+    from conftest import SF_SMALL
+    a = analog.ads(spark, SF_SMALL.replace("0.001", "0.01")).where("istest = 0").toPandas()
+    inputs = [c for c in a.columns if c not in ("log_id", "label", "istest", "ro", "pt_d", "app_score")]
+    half = a.log_id % 2 == 0
+    for c in inputs:
+        rate = a[half].groupby(a[c].astype(str)).label.mean()
+        score = a[~half][c].astype(str).map(rate).fillna(a.label.mean())
+        y = a[~half].label
+        rank = score.rank()
+        auc = (rank[y == 1].sum() - (y == 1).sum() * ((y == 1).sum() + 1) / 2) / ((y == 1).sum() * (y == 0).sum())
+        assert 0.44 < auc < 0.56, c
+
+
+def test_logistic_gradient_is_zero_in_sql(spark):
+    """DuckDB recomputes the penalised gradient at the returned terms from the same rows."""
+    import duckdb
+    from clickwise.plans import catalog as ct
+    from clickwise.plans import logistic as lg
+    from clickwise.sources import analog
+    from conftest import SF_SMALL
+    train, test = ct._lr_frames(spark, SF_SMALL)
+    model = ct._lr_model(train)
+    con = duckdb.connect()
+    con.register("t", train.toPandas())
+    z = " + ".join([repr(model.intercept)] + [f"({c!r}) * {f}" for f, c in zip(model.features, model.coefficients)])
+    for f, c in zip(["1.0", *model.features], [0.0, *model.coefficients]):
+        g = con.sql(f"SELECT sum((1 / (1 + exp(-({z}))) - label) * {f}) / count(*), count(*) FROM t").fetchall()[0]
+        assert abs(g[0] + c / g[1]) < 1e-9
+    assert model.gradient < 1e-9 and 0 < model.steps < lg.MAX_STEPS
+    p = [r["pctr"] for r in md.predict_proba(model, test, "pctr").collect()]
+    assert len(p) == 200 and all(0 < x < 1 for x in p)
+
+
+def test_logistic_on_odd_frames(spark):
+    from clickwise.plans import logistic as lg
+    schema = "log_id long, label int, x double"
+    assert lg.fit_logistic(spark.createDataFrame([], schema), ["x"]).terms() == {"(intercept)": 0.0, "x": 0.0}
+    even = spark.createDataFrame([(i, i // 2 % 2, float(i % 2)) for i in range(40)] + [(99, None, 5.0)], schema)
+    assert abs(lg.fit_logistic(even, ["x"]).coefficients[0]) < 1e-9
+    apart = spark.createDataFrame([(i, i % 2, float(i % 2)) for i in range(40)], schema)
+    a, b = (lg.fit_logistic(apart.repartition(k), ["x"]) for k in (1, 7))
+    assert a.gradient < 1e-9 and abs(a.coefficients[0] - b.coefficients[0]) < 1e-9
+
+
+def test_submission_run_end_to_end(spark, monkeypatch):
+    """All steps from the two logs to the file, with few rounds; the stored table is narrow, partitioned, and pruned when read."""
+    from clickwise.plans import catalog as ct
+    from clickwise.plans import submission as sub
+    from conftest import SF_SMALL
+    got = sub.run(*ct.submission_inputs(spark, SF_SMALL), learner=md.gbt_lgb(2))
+    rows = got.submission.collect()
+    assert got.submission.columns == ["log_id", "pctr"] and len(rows) == len({r["log_id"] for r in rows}) == 200
+    assert all(0 < r["pctr"] < 1 for r in rows) and got.scores.count() == 5
+    assert dict(got.table.dtypes)["site_id"] == "tinyint"
+    assert "PartitionFilters: [isnotnull(istest" in got.table.where("istest = 1")._jdf.queryExecution().toString()
+    assert {(r["istest"], r["fold"]) for r in got.table.select("istest", "fold").distinct().collect()} == {(0, i) for i in range(5)} | {(1, -1)}

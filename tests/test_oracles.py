@@ -45,5 +45,5 @@ def test_query_matches_oracle(spark, con, name):
 def test_every_query_has_oracle_or_is_a_model():
     missing = set(queries()) - set(ORACLE)
     models = {"lr_baseline", "gbt_cat", "gbt_lgb", "gbt_xgb", "predict_proba", "cv_oof", "cv_test_mean",
-              "cv_fold_scores", "fusion_stacking"}
+              "cv_fold_scores", "fusion_stacking", "fusion_fitted", "fusion_fold_scores", "pipeline_submission"}
     assert missing <= models
