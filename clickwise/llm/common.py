@@ -98,6 +98,14 @@ def hashed_rank(df: DataFrame, key: list[str], by: list[str], out: str, seed: in
             .withColumn(out, (F.col("_o") + F.col("_r") - 1).cast("long")).drop("_h", "_b", "_o", "_r"))
 
 
+def free_name(columns: list[str], name: str) -> str:
+    """``name``, or with underscores before it one that none of the columns has (in any case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def text_key(text: Column) -> Column:
     """64-bit key of a text; null counts as empty."""
     return F.xxhash64(F.coalesce(text, F.lit("")))

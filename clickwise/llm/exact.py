@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickwise.llm.common import maybe_broadcast, scratch_table, text_key, without_rows
+from clickwise.llm.common import free_name, maybe_broadcast, scratch_table, text_key, without_rows
 
 FAN_IN_BITS = 4
 ROUNDS = 3
@@ -67,6 +67,7 @@ def drop_exact(docs: DataFrame, keep: str = "smallest") -> DataFrame:
     # the same doc_id and text more than once: only those rows are compared whole
     same = left["doc_id"].eqNullSafe(again["_id"]) & (text_key(left["text"]) == again["_key"])
     hint = maybe_broadcast(again)
-    repeated = left.join(hint, same, "left_semi").withColumn("_t", F.coalesce("text", F.lit("")))
+    whole = free_name(left.columns, "_t")
+    repeated = left.join(hint, same, "left_semi").withColumn(whole, F.coalesce("text", F.lit("")))
     return (left.join(hint, same, "left_anti")
-            .unionByName(repeated.dropDuplicates(["doc_id", "_t"]).drop("_t")))
+            .unionByName(repeated.dropDuplicates(["doc_id", whole]).drop(whole)))

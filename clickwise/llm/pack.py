@@ -5,8 +5,8 @@ one for each set bit of the rest, longest first. A sequence holds one piece, so
 none is padded; sequences of equal length form a bucket, and their ids are consecutive: longest bucket first,
 inside a bucket by the document order given (default: a seeded hash order).
 
-Null texts are empty documents: they hold the end id alone, in a piece of length 1. Repeated rows are packed
-each for themselves, null ids too; an empty table gives no rows. Only the id, text and order columns are read.
+Null texts are empty documents: they hold the end id alone, in a piece of length 1. A very long text is cut like any other, whole. Repeated rows are
+packed each for themselves, null ids too; ties in the order go by id, start, length of the document and content; an empty table gives no rows. Only the id, text and order columns are read.
 """
 
 from __future__ import annotations
@@ -19,10 +19,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from clickwise.llm.common import SEED, bucket_bits, scratch_table, small_batches
+from clickwise.llm.common import SEED, bucket_bits, scratch_table, small_batches, text_key
 from clickwise.llm.tokens import END_ID, encode_texts
 
 LENGTH = 4096
+#: Orders below this are given ones; from it on are the places of the rows without an order (2**40 of them).
+LATER_BITS = 24
+LATER = 1 << 62
 
 
 def cuts(n: int, length: int) -> list[tuple[int, int]]:
@@ -45,7 +48,7 @@ def pack_pieces(docs: DataFrame, length: int = LENGTH, vocabulary: str | None =
                 seed: int = SEED) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
-    ``order``: a long that places documents inside the buckets; ties by id and content."""
+    ``order``: a long below 2**62 that places documents inside the buckets; ties by id and content, null after all others."""
     if length & (length - 1) or length < 1:
         raise ValueError("the sequence length is a power of two")
     small_batches(docs.sparkSession)
@@ -62,7 +65,10 @@ def pack_pieces(docs: DataFrame, length: int = LENGTH, vocabulary: str | None =
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), batch.column(1),
                                               pa.array(pieces, out.field("pieces").type)], schema=out)
 
-    key = order if order is not None else F.xxhash64(F.lit(seed), F.col(id_col))
+    # the text spreads repeated and null ids over the buckets
+    key = F.xxhash64(F.lit(seed), F.col(id_col), text_key(F.col(text_col)))
+    if order is not None:  # rows without an order come last, in one another's hash order
+        key = F.coalesce(order.cast("long"), F.lit(LATER) + F.shiftrightunsigned(key, LATER_BITS))
     cut_docs = scratch_table(docs.select(F.col(id_col).cast("long").alias("doc_id"), key.cast("long").alias("key"),
                                          F.col(text_col).alias("text")).mapInArrow(cut, _PIECES), "pack")
     pieces = cut_docs.select("doc_id", "key", "doc_tokens", F.inline("pieces"))
@@ -70,13 +76,15 @@ def pack_pieces(docs: DataFrame, length: int = LENGTH, vocabulary: str | None =
 
 
 def numbered(pieces: DataFrame, hashed: bool = True) -> DataFrame:
-    """Add gapless sequence ids: longest pieces first, then by key (a hash, or small consecutive numbers)."""
+    """Add gapless sequence ids: longest pieces first, then by key (a hash, or small consecutive numbers; see :data:`LATER`)."""
     bits = bucket_bits(pieces.sparkSession)
     if hashed:
         bucket = F.shiftrightunsigned("key", 64 - bits)
     else:
-        top = pieces.agg(F.max("key")).first()[0] or 0
-        bucket = F.expr(f"key div {top // (1 << bits) + 1}L")
+        top, low = pieces.where(F.col("key") < LATER).agg(F.max("key"), F.min("key")).first()
+        top, low = top or 0, low or 0
+        given = F.expr(f"(key - {low}L) div {(top - low) // (1 << bits) + 1}L")
+        bucket = F.when(F.col("key") < LATER, given).otherwise((1 << bits) + F.shiftrightunsigned(F.col("key") - LATER, 64 - LATER_BITS - bits))
     p = pieces.withColumn("_b", bucket)
     sizes = p.groupBy("length", "_b").agg(F.count(F.lit(1)).alias("_n"))
     # (lengths x buckets) rows: bounded by the number of partitions, not by the data

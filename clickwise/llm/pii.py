@@ -130,26 +130,70 @@ def _features(text: str, units: list[tuple[int, int]], i: int, j: int) -> list[i
     return [crc32(f.encode()) % DIMENSIONS for f in found]
 
 
+def _segments(text: str, units: list[tuple[int, int]], start: int, stop: int) -> Iterator[tuple[int, int, list[int]]]:
+    """(i, j, features) of the segments that begin at the units from ``start`` to ``stop`` - 1, by i, then j."""
+    for i in range(start, stop):
+        s = units[i][0]
+        if not (text[s].isalnum() or text[s] in "+("):
+            continue
+        digits, at = 0, False
+        for j in range(i + 1, min(i + MAX_UNITS, len(units)) + 1):
+            a, e = units[j - 1]
+            digits += (e - a) * text[a].isdecimal()
+            at = at or text[a] == "@" or text[a:e] == "at"
+            if not text[a].isalnum() or not at and (digits < 4 or text[s].isalpha() or text[a].isalpha()):
+                continue
+            if (f := _features(text, units, i, j)) is not None:
+                yield i, j, f
+
+
+#: Units whose segments are scored at once when a window is decoded.
+DECODED_AT_ONCE = 64
+
+
+def best_segments(text: str, units: list[tuple[int, int]], w: np.ndarray) -> list[tuple[int, int, int]]:
+    """The entities (i, j, kind) of the best segmentation of a window, as :meth:`Lattice.best` has them, with memory for the features of
+    some units at a time: each unit holds the best value so far and a pointer back."""
+    n = len(units)
+    value, top = np.zeros(n + 1), np.full(n + 1, -np.inf)  # best up to a unit; best of those that end in an entity there
+    origin, kind = np.zeros(n + 1, np.int64), np.full(n + 1, -1, np.int64)
+    for start in range(0, n, DECODED_AT_ONCE):
+        stop = min(start + DECODED_AT_ONCE, n)
+        found = list(_segments(text, units, start, stop))
+        scores = w[np.array([f for _, _, f in found])].sum(axis=1) if found else np.zeros((0, len(KINDS)))
+        at, kinds, best = 0, scores.argmax(axis=1), scores.max(axis=1, initial=-np.inf)
+        for i in range(start, stop):
+            if i:
+                value[i] = value[i - 1]
+                if top[i] > value[i]:
+                    value[i] = top[i]
+                else:
+                    kind[i] = -1
+            while at < len(found) and found[at][0] == i:
+                j = found[at][1]
+                if value[i] + best[at] > top[j]:
+                    top[j], origin[j], kind[j] = value[i] + best[at], i, kinds[at]
+                at += 1
+    if n and not top[n] > value[n - 1]:
+        kind[n] = -1
+    out, j = [], n
+    while j > 0:
+        if kind[j] >= 0:
+            out.append((int(origin[j]), j, int(kind[j])))
+            j = int(origin[j])
+        else:
+            j -= 1
+    return out[::-1]
+
+
 class Lattice:
     """All segments of a window: ``where`` (i, j) and feature numbers."""
 
     def __init__(self, text: str, units: list[tuple[int, int]]):
         self.n, self.units, self.where, rows = len(units), units, [], []
-        # digits and at-signs before each unit: most segments need no closer look
-        digits, ats = [0], [0]
-        for s, e in units:
-            digits.append(digits[-1] + (e - s) * text[s].isdecimal())
-            ats.append(ats[-1] + (text[s] == "@" or text[s:e] == "at"))
-        first = [text[s].isalnum() or text[s] in "+(" for s, _ in units]
-        last = [text[s].isalnum() for s, _ in units]
-        for i in (i for i in range(self.n) if first[i]):
-            for j in range(i + 1, min(i + MAX_UNITS, self.n) + 1):
-                if not last[j - 1] or ats[j] == ats[i] and (
-                        digits[j] - digits[i] < 4 or text[units[i][0]].isalpha() or text[units[j - 1][0]].isalpha()):
-                    continue
-                if (f := _features(text, units, i, j)) is not None:
-                    self.where.append((i, j))
-                    rows.append(f)
+        for i, j, f in _segments(text, units, 0, len(units)):
+            self.where.append((i, j))
+            rows.append(f)
         self.features = np.array(rows, np.int64).reshape(len(rows), len(rows[0]) if rows else 1)
         self.into: list[list[int]] = [[] for _ in range(self.n + 1)]
         for k, (_, j) in enumerate(self.where):
@@ -285,7 +329,7 @@ def all_spans(text: str, w: np.ndarray) -> tuple[list, list]:
     added = []
     if w.any():
         for units in windows(text):
-            for i, j, k in Lattice(text, units).best(w):
+            for i, j, k in best_segments(text, units, w):
                 s, e = units[i][0], units[j - 1][1]
                 if all(e <= b[0] or s >= b[1] for b in base):
                     added.append((s, e, k))

@@ -45,6 +45,9 @@ CODED = ("part int, block int, doc_ids array<long>, lengths array<int>, n_tokens
 DECODED = "doc_id long, part int, block int, at long, n_tokens long, ids_crc32 long"
 
 
+#: Block number of a row that holds the occurrences of ids instead of a block.
+COUNTS = -1
+
 TABLE = "id int, frequency long, precision int, end_id int, crc32 long"
 
 
@@ -141,7 +144,7 @@ def decode_block(block: dict, table: Table) -> np.ndarray:
         x[:live] = np.where(need, (y << _U(32)) | words[place], y)
         at[:live] += taken[:, -1]
     out = ids.reshape(-1, lanes)[:steps].reshape(-1)[:n]
-    if zlib.crc32(out.astype("<u4")) != block["ids_crc32"]:
+    if zlib.crc32(out.astype("<u4", copy=False)) != block["ids_crc32"]:
         raise ValueError("the decoded ids do not match their checksum")
     return out
 
@@ -195,7 +198,7 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str | None = None, end_
         for b in batches:
             doc = b.column(0)
             part = np.where(doc.is_null(), 0, np.searchsorted(bounds, doc.fill_null(0).to_numpy(), "left"))
-            ids = [x.tobytes() for x in encode_texts(b.column(2).to_pylist(), vocabulary, end_id)]
+            ids = [memoryview(x) for x in encode_texts(b.column(2).cast(pa.binary()).to_pylist(), vocabulary, end_id)]
             yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), doc, b.column(1), pa.array(ids, pa.binary())],
                                              schema=ids_schema)
 
@@ -204,23 +207,35 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str | None = None, end_
 
     def block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number, docs_in, data, size = 0, 0, [], [], 0
+        total = np.zeros(1, np.int64)
 
-        def close():
+        def row(block_number, doc_ids, lengths, ids):
             return pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int32()), pa.array([number], pa.int32()), pa.array([docs_in], pa.list_(pa.int64())),
-                 pa.array([[len(d) // 4 for d in data]], pa.list_(pa.int32())), pa.array([b"".join(data)], pa.binary())],
-                schema=raw_schema)
+                [pa.array([part], pa.int32()), pa.array([block_number], pa.int32()), pa.array([doc_ids], pa.list_(pa.int64())),
+                 pa.array([lengths], pa.list_(pa.int32())), pa.array([ids], pa.binary())], schema=raw_schema)
+
+        def close():
+            nonlocal total
+            ids = b"".join(data)
+            n = np.bincount(np.frombuffer(ids, "<u4"))
+            if len(n) > len(total):
+                n, total = total, n
+            total[:len(n)] += n
+            return row(number, docs_in, [len(d) // 4 for d in data], ids)
         for b in batches:
-            for p, d, ids in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
+            for p, d, ids in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
                 if docs_in and (p != part or size >= block_tokens):
                     yield close()
                     number, docs_in, data, size = number + 1 if p == part else 0, [], [], 0
                 part = p
                 docs_in.append(d)
-                data.append(ids)
-                size += len(ids) // 4
+                data.append(ids.as_buffer())
+                size += len(data[-1]) // 4
         if docs_in:
             yield close()
+            # the occurrences of the ids of all blocks of this task, as one more row: (ids, occurrences)
+            some = np.flatnonzero(total)
+            yield row(COUNTS, some, None, total[some].astype("<i8").tobytes())
 
     small_batches(spark)
     ids = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_key(F.col(text_col)).alias("tie"),
@@ -234,11 +249,12 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str | None = None, end_
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for row in b.to_pylist():
-                coded = encode_block(np.frombuffer(row.pop("ids"), "<u4"), shared.value)
-                yield pa.RecordBatch.from_pylist([row | coded], schema=_CODED_ARROW)
+            for i, ids in enumerate(b.column("ids")):
+                coded = encode_block(np.frombuffer(ids.as_buffer(), "<u4"), shared.value)
+                rest = [pa.array([coded[f.name]], f.type) for f in list(_CODED_ARROW)[4:]]
+                yield pa.RecordBatch.from_arrays([*(b.column(c).slice(i, 1) for c in range(4)), *rest], schema=_CODED_ARROW)
 
-    raw.mapInArrow(code, CODED).write.parquet(f"{path}/blocks")
+    raw.where(F.col("block") != COUNTS).mapInArrow(code, CODED).write.parquet(f"{path}/blocks")
     write_table(spark, table, f"{path}/table", end_id)
     return table
 
@@ -250,20 +266,16 @@ _CODED_ARROW = pa.schema([
 
 
 def token_counts(raw: DataFrame) -> dict[int, int]:
-    """Occurrences of every id over all blocks; at most one row for each id of the vocabulary."""
+    """Occurrences of every id over all blocks: the rows that the tasks left beside their blocks, added; at most one row for each id of
+    the vocabulary."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1, np.int64)
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for data in b.column(0).to_pylist():
-                n = np.bincount(np.frombuffer(data, "<u4"))
-                if len(n) > len(total):
-                    n, total = total, n
-                total[:len(n)] += n
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(total[some], pa.int64())], ["id", "n"])
-
-    counted = raw.select("ids").mapInArrow(count, "id int, n long").groupBy("id").agg(F.sum("n").alias("n"))
+            for ids, n in zip(b.column(0), b.column(1)):
+                yield pa.RecordBatch.from_arrays([ids.values.cast(pa.int32()), pa.array(np.frombuffer(n.as_buffer(), "<i8"))], ["id", "n"])
+
+    counted = (raw.where(F.col("block") == COUNTS).select("doc_ids", "ids").mapInArrow(spread, "id int, n long")
+               .groupBy("id").agg(F.sum("n").alias("n")))
     return {r["id"]: r["n"] for r in counted.collect()}
 
 
@@ -278,13 +290,16 @@ def read_tokens(spark: SparkSession, path: str, table: Table | None = None) -> D
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for row in b.to_pylist():
-                ids = decode_block(row, shared.value).astype("<u4")
-                ends = np.cumsum(row["lengths"])
-                starts = ends - row["lengths"]
+            for i in range(b.num_rows):
+                # words and states are read where they are
+                row = {c: b.column(c)[i].as_buffer() if c in ("words", "states") else b.column(c)[i].as_py() for c in b.schema.names if c not in ("doc_ids", "lengths")}
+                row["doc_ids"], lengths = b.column("doc_ids")[i].values, b.column("lengths")[i].values.to_numpy()
+                ids = decode_block(row, shared.value)
+                ends = np.cumsum(lengths)
+                starts = ends - lengths
                 n = len(ends)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(row["doc_ids"], pa.int64()), pa.array(np.full(n, row["part"]), pa.int32()),
+                    [row["doc_ids"], pa.array(np.full(n, row["part"]), pa.int32()),
                      pa.array(np.full(n, row["block"]), pa.int32()), pa.array(starts, pa.int64()),
                      pa.array(ends - starts, pa.int64()),
                      pa.array([zlib.crc32(ids[s:e]) for s, e in zip(starts, ends)], pa.int64())], schema=decoded_schema)

@@ -39,33 +39,45 @@ def _tokenizer(path: str | None):
     return _loaded[path]
 
 
-def encode_texts(texts: list[str | None], path: str | None = None, end_id: int | None = END_ID) -> Iterator[np.ndarray]:
-    """The uint32 ids of each text (null: empty), followed by ``end_id``."""
+def encode_texts(texts: list[str | bytes | None], path: str | None = None, end_id: int | None = END_ID) -> Iterator[np.ndarray]:
+    """The uint32 ids of each text (null: empty; as a string or in UTF-8), followed by ``end_id``."""
     tok, cache = _tokenizer(path)
-    pieces = [_pieces(t.encode()) if t else [] for t in texts]
-    words: set[bytes] = set()
-    for ps in pieces:
-        words.update(ps)
-    missing = words.difference(cache)
-    known = cache
-    if missing:
-        # a comma or full stop behind a letter is a piece of its own to the vocabulary's splitter
-        stops = [p for p in missing if p[-1:] in _STOPS and p[-2:-1].isalpha()]
-        missing.difference_update(stops)
-        missing.update({p[:-1] for p in stops}.difference(cache))
-        missing.update(_STOPS.difference(cache))
-        fresh = _encode_pieces(tok, missing)
-        for p in stops:
-            fresh[p] = b"".join(fresh.get(x) or cache[x] for x in (p[:-1], p[-1:]))
-        room = CACHE_PIECES - len(cache)
-        if len(fresh) <= room:
-            cache.update(fresh)
-        else:
-            cache.update(islice(fresh.items(), max(0, room)))
-            known = _Both(cache, fresh)
     tail = b"" if end_id is None else np.array([end_id], dtype="<u4").tobytes()
-    for ps in pieces:
-        yield np.frombuffer(b"".join(map(known.__getitem__, ps)) + tail, dtype="<u4")
+    done: list[bytes | None] = []
+    waiting: dict[int, list[bytes]] = {}
+    missing: set[bytes] = set()
+    for t in texts:
+        ps = _pieces(t.encode() if isinstance(t, str) else t) if t else []
+        try:
+            done.append(b"".join(map(cache.get, ps)))  # one look-up a piece; a piece that is not known (None) cannot be joined
+        except TypeError:
+            waiting[len(done)] = ps
+            missing.update(p for p in ps if p not in cache)
+            done.append(None)
+    if missing:
+        known = _with_fresh(tok, cache, missing)
+        for i, ps in waiting.items():
+            done[i] = b"".join(map(known.__getitem__, ps))
+    for ids in done:
+        yield np.frombuffer(ids + tail, dtype="<u4")
+
+
+def _with_fresh(tok, cache: dict[bytes, bytes], missing: set[bytes]) -> dict[bytes, bytes]:
+    """Encode the missing pieces; remember them as far as there is room, and return a mapping that has them all."""
+    # a comma or full stop behind a letter is a piece of its own to the vocabulary's splitter
+    stops = [p for p in missing if p[-1:] in _STOPS and p[-2:-1].isalpha()]
+    missing.difference_update(stops)
+    missing.update({p[:-1] for p in stops}.difference(cache))
+    missing.update(_STOPS.difference(cache))
+    fresh = _encode_pieces(tok, missing)
+    for p in stops:
+        fresh[p] = b"".join(fresh.get(x) or cache[x] for x in (p[:-1], p[-1:]))
+    room = CACHE_PIECES - len(cache)
+    if len(fresh) <= room:
+        cache.update(fresh)
+        return cache
+    cache.update(islice(fresh.items(), max(0, room)))
+    return _Both(cache, fresh)
 
 
 def _pieces(raw: bytes) -> list[bytes]:
