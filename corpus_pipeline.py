@@ -40,7 +40,8 @@ def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     places = maybe_broadcast(scratch_table(places, "places"))
     placed = docs.join(places, docs["doc_id"].eqNullSafe(places["_id"]) & (text_key(docs["text"]) == places["_key"]))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return placed.repartitionByRange(parts, "_position").sortWithinPartitions("_position").select(*[docs[c] for c in docs.columns])
+    at = places["_position"]  # docs may have a column of that name
+    return placed.repartitionByRange(parts, at).sortWithinPartitions(at).select(*[docs[c] for c in docs.columns])
 
 
 def _written_order(docs: DataFrame) -> Column | None:
