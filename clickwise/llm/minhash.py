@@ -13,7 +13,8 @@ star-shaped candidate edges.
    compared across components. Shingles that at most FEW of them hold are matched directly; a pair that shares none of
    those can only be similar if both hold few of them and share one of the rarest others (the rarest
    n - ceil(0.8 n) + 1 shingles of similar texts always meet). Such a pair is taken once, at its first common
-   shingle, if the heads of both lists share enough for the rest to reach the threshold. All bounds are exact:
+   shingle, if the heads of both lists share enough for the rest to reach the threshold. Before texts meet, their profiles (size and
+   shareable part) do, so texts that share a passage below the threshold are not paired at all. All bounds are exact:
    they drop pairs below the threshold only. What is left is confirmed in the same way.
 
 Null and empty texts, and texts of white space alone, have an empty set and are linked with nothing. Repeated
@@ -149,6 +150,25 @@ def _similar_sizes(a: str, b: str, percent: int):
     return F.expr(f"100 * least({a}, {b}) >= {percent} * greatest({a}, {b})")
 
 
+def _profile(n: str, few: str):
+    """A text's size and the size of what it can share with others at most, each in steps of about one percent."""
+    level = "cast(floor(100 * ln(greatest({}, 1))) AS long)"
+    return F.expr(f"{level.format(n)} * 65536 + {level.format(f'{n} - {few}')}")
+
+
+def _meeting_profiles(stray: DataFrame, other: DataFrame, percent: int) -> DataFrame:
+    """(sh, pa, pb): the profiles of a shingle's texts that can hold a similar pair, by the bounds of :func:`_residual_pairs` on the least size and
+    the largest shareable part of each profile. Texts that share a passage below the threshold are settled here, by their profiles: a
+    shingle has no more of them than there are sizes, however many texts hold it."""
+    def bounds(rows: DataFrame, x: str) -> DataFrame:
+        c = F.col(f"n_{x}") - F.col(f"few_{x}")
+        return rows.groupBy("sh", f"p{x}").agg(F.min(f"n_{x}").alias(f"least_{x}"), F.max(f"n_{x}").alias(f"most_{x}"), F.max(c).alias(f"part_{x}"))
+    pairs = bounds(stray, "a").join(bounds(other, "b"), "sh")
+    similar = F.expr(f"100 * most_a >= {percent} * least_b AND 100 * most_b >= {percent} * least_a")
+    shared = F.expr(f"{percent} * (least_a + least_b) <= (100 + {percent}) * least(part_a, part_b)")
+    return scratch_table(pairs.where(similar).where(shared).select("sh", "pa", "pb"), "profiles-that-meet")
+
+
 def _residual_pairs(members: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Step 4: pairs across components in buckets that stars have not joined."""
     rows = scratch_table(_labelled(members.where("count > 2").select("key", "cls"), roots, "cls", "label"), "left")
@@ -196,9 +216,11 @@ def _residual_pairs(members: DataFrame, roots: DataFrame, sets: DataFrame, perce
     most = scratch_table(by_label.groupBy("sh").agg(F.max_by("label", F.struct("_c", "label")).alias("_most"),
                                                     F.count(F.lit(1)).alias("_k")).where("_k > 1").select("sh", "_most"), "left-most")
     stray = scratch_table(prefix.join(most, "sh").where("label <> _most")
-                          .select("sh", "_most", *[F.col(c).alias(f"{c}_a") for c in CARRIED]), "strays")
-    other = prefix.select("sh", *[F.col(c).alias(f"{c}_b") for c in CARRIED])
+                          .select("sh", "_most", _profile("n", "few").alias("pa"), *[F.col(c).alias(f"{c}_a") for c in CARRIED]), "strays")
+    other = prefix.select("sh", _profile("n", "few").alias("pb"), *[F.col(c).alias(f"{c}_b") for c in CARRIED])
     near = possible.replace("shared", "0")
+    stray = stray.join(_meeting_profiles(stray, other, percent), ["sh", "pa"]).withColumnRenamed("pb", "_pb")
+    other = other.withColumnRenamed("sh", "_sh")
     # the rarest common shingle is among the first of the smaller text; before it nothing is common, and of the
     # counted-out ones none is
     place = (f"{percent} * (n_a + n_b) <= (100 + {percent}) * (least(_r_a - few_a, _r_b - few_b) + least(n_a - _r_a, n_b - _r_b))"
@@ -210,7 +232,7 @@ def _residual_pairs(members: DataFrame, roots: DataFrame, sets: DataFrame, perce
     first = f"size({share}) = 0 OR {share}[0] = sh"
     rest = "CASE WHEN last_a IS NULL THEN IF(last_b IS NULL, 0, rest_b) WHEN last_b IS NULL OR last_a <= last_b THEN rest_a ELSE rest_b END"
     enough = f"{percent} * (n_a + n_b) <= (100 + {percent}) * (size({share}) + {rest})"
-    by_rest = (stray.join(other, "sh").where(F.col("label_a") != F.col("label_b")).where(_similar_sizes("n_a", "n_b", percent))
+    by_rest = (stray.join(other, (F.col("sh") == F.col("_sh")) & (F.col("_pb") == F.col("pb"))).where(F.col("label_a") != F.col("label_b")).where(_similar_sizes("n_a", "n_b", percent))
                .where("label_b = _most OR cls_a < cls_b").where(near).where(place).where(first).where(enough)
                .select(F.least("cls_a", "cls_b").alias("a"), F.greatest("cls_a", "cls_b").alias("b")))
     return scratch_table(by_few.union(by_rest).distinct(), "left-pairs")

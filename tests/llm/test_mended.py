@@ -81,3 +81,51 @@ def test_counts_beside_the_blocks_make_the_table(spark, make, tmp_path):
     table = rans.write_tokens(make(texts), f"file://{tmp_path}/set", block_tokens=64)
     ids, n = np.unique(np.concatenate(list(tokens.encode_texts(texts))), return_counts=True)
     assert (table.freq == rans.Table(dict(zip(ids.tolist(), n.tolist()))).freq).all()
+
+
+def boilerplate(n, seed=3):
+    """Texts with 400 words in common and 76 of their own: about 0.72 alike, below the threshold."""
+    rng = random.Random(seed)
+    common = [f"c{i}" for i in range(400)]
+    return [" ".join(common[:200] + [f"o{rng.randrange(10**9)}" for _ in range(38)] + common[200:] + [f"o{rng.randrange(10**9)}" for _ in range(38)])
+            for _ in range(n)]
+
+
+def test_texts_with_a_common_passage_are_not_paired(spark, make, monkeypatch):
+    from clickwise.llm import minhash
+    counted = {}
+    whole = minhash._residual_pairs
+    keep = minhash.scratch_table
+
+    def residual(members, roots, sets, percent):
+        def table(df, label):
+            out = keep(df, label)
+            if label in ("profiles-that-meet", "strays"):
+                counted[label] = out.count()
+            return out
+        monkeypatch.setattr(minhash, "scratch_table", table)
+        try:
+            return whole(members, roots, sets, percent)
+        finally:
+            monkeypatch.setattr(minhash, "scratch_table", keep)
+    monkeypatch.setattr(minhash, "_residual_pairs", residual)
+    got = minhash.near_groups(make(boilerplate(120)), 4).toPandas()
+    assert (got.component_id == got.doc_id).all()
+    assert counted["strays"] > 0 and counted["profiles-that-meet"] == 0
+
+
+def test_similar_texts_among_a_common_passage_are_linked(make):
+    from clickwise.llm import minhash
+    from .test_operators import near_plain
+    rng = random.Random(8)
+    texts = boilerplate(40)
+    for t in list(texts[:12]):
+        w = t.split()
+        for _ in range(rng.randrange(1, 14)):
+            w[rng.randrange(len(w))] = f"e{rng.randrange(10**9)}"
+        texts.append(" ".join(w[:rng.randrange(440, len(w))]))
+    common = texts[0].split()[:200]
+    texts += [" ".join(common + [f"q{rng.randrange(10**9)}" for _ in range(k)]) for k in range(0, 60, 5)]
+    want, _ = near_plain(texts, 4)
+    got = minhash.near_groups(make(texts), 4).toPandas().sort_values("doc_id")
+    assert got.component_id.tolist() == want
