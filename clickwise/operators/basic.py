@@ -5,10 +5,10 @@ Grouped results drop null keys, as the reference's group-bys do.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickwise.operators.rank import global_rank
+from clickwise.operators.rank import bucketize, default_buckets
 from clickwise.operators.skew import DEFAULT_HOT_THRESHOLD, keyed_left_join
 
 DEFAULT_EXCLUDE = ["label", "istest", "log_id"]
@@ -66,13 +66,20 @@ def global_shift(df: DataFrame, value: str, order_cols: list[str], sort_key: Col
                  out: str | None = None, n_buckets: int | None = None) -> DataFrame:
     """Value of the row ``k`` places earlier in the global order (``lag`` without a partition).
 
-    An unpartitioned window runs in one task; instead rows get their exact global position
-    (bucketed rank) and meet their predecessor in an equi-join on position, which spreads evenly.
+    An unpartitioned window runs in one task; instead rows go into buckets of the sort key, the lag is taken inside the bucket, and only the
+    first and last ``k`` rows of each bucket (a table whose size is set by the number of buckets) meet in a window of their own, which gives the first
+    ``k`` rows of a bucket the values they take over from those before.
     """
     out = out or f"{value}_lag{k}"
-    ranked = global_rank(df, order_cols, sort_key, out="_pos", n_buckets=n_buckets)
-    prev = ranked.select((F.col("_pos") + k).alias("_pos"), F.col(value).alias(out))
-    return ranked.join(prev, "_pos", "left").drop("_pos")
+    b = bucketize(df, sort_key, n_buckets or default_buckets(df.sparkSession), "_gs_b")
+    inside = Window.partitionBy("_gs_b").orderBy(*order_cols)
+    b = b.withColumns({"_gs_in": F.lag(value, k).over(inside), "_gs_rn": F.row_number().over(inside),
+                       "_gs_n": F.count(F.lit(1)).over(Window.partitionBy("_gs_b"))})
+    edge = b.where(f"_gs_rn <= {k} OR _gs_rn > _gs_n - {k}").select("_gs_b", "_gs_rn", F.col(value).alias("_gs_v"))
+    taken = edge.withColumn("_gs_over", F.lag("_gs_v", k).over(Window.orderBy("_gs_b", "_gs_rn"))).where(f"_gs_rn <= {k}").drop("_gs_v")
+    # at most k rows a bucket
+    met = b.join(F.broadcast(taken), ["_gs_b", "_gs_rn"], "left")
+    return met.withColumn(out, F.when(F.col("_gs_rn") <= k, F.col("_gs_over")).otherwise(F.col("_gs_in"))).select(*df.columns, out)
 
 
 def group_diff(df: DataFrame, keys: list[str], order_col: str, value: str, out: str | None = None,

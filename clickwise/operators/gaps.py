@@ -17,6 +17,8 @@ Groups larger than ``hot_threshold`` rows are split into bounded ordinal ranges:
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -185,9 +187,9 @@ def _family(df: DataFrame, key_sets: list[list[str]], order_col: str, date_col:
     """Route a family: groups of the leading key above ``hot_threshold`` rows take the split path,
     all other rows the plain windows. Hot keys are at most ``N / hot_threshold``, so their table is
     brought to the driver and broadcast with a proven bound. Without hot keys the plan is the plain
-    one. (Running, non-leaky statistics are not split.)"""
+    one."""
     lead = key_sets[0][0]
-    if hot_threshold is None or not leaky or not isinstance(order_col, str):
+    if hot_threshold is None:
         return _family_plain(df, key_sets, order_col, date_col, gaps, leaky)
     if hot is not None and lead in hot:
         schema, rows = hot[lead]
@@ -202,12 +204,16 @@ def _family(df: DataFrame, key_sets: list[list[str]], order_col: str, date_col:
     cold = df.join(F.broadcast(hot_small.select(lead)), lead, "left_anti")
     cold_out = _family_plain(cold, key_sets, order_col, date_col, gaps, leaky)
     hot_rows = df.join(F.broadcast(hot_small.select(lead)), lead, "left_semi")
-    hot_out = _family_hot(hot_rows, key_sets, order_col, date_col, gaps, hot_threshold)
+    hot_out = _family_hot(hot_rows, key_sets, order_col, date_col, gaps, hot_threshold, leaky)
     return cold_out.unionByName(hot_out.select(*cold_out.columns))
 
 
-def _family_hot(h: DataFrame, key_sets: list[list[str]], order_col: str, date_col: str, gaps,
-                threshold: int) -> DataFrame:
+def _orders(order_col) -> list[str]:
+    return [order_col] if isinstance(order_col, str) else list(order_col)
+
+
+def _family_hot(h: DataFrame, key_sets: list[list[str]], order_col, date_col: str, gaps, threshold: int,
+                leaky: bool = True) -> DataFrame:
     """Gap features for rows of hot leading keys.
 
     Each hot key's rows are cut into ordinal ranges (``_sb``) of ``threshold`` rows by their exact rank in
@@ -219,34 +225,40 @@ def _family_hot(h: DataFrame, key_sets: list[list[str]], order_col: str, date_co
     """
     keys = list(dict.fromkeys(k for ks in key_sets for k in ks))
     # every key set branches from these narrow rows: materialise them once
-    narrow = cut_lineage(hot_ranges(h.select(order_col, date_col, *keys), key_sets[0][0], order_col, threshold))
+    orders = _orders(order_col)
+    narrow = cut_lineage(hot_ranges(h.select(*dict.fromkeys([*orders, date_col, *keys])), key_sets[0][0], order_col, threshold))
     out = h
     for ks in key_sets:
-        out = out.join(_hot_keyset(narrow, ks, order_col, date_col, gaps), order_col, "left")
+        found = _hot_keyset(narrow, ks, order_col, date_col, gaps, leaky)
+        found = found.withColumnsRenamed({c: f"_of_{c}" for c in orders})
+        same = reduce(lambda a, b: a & b, [out[c].eqNullSafe(found[f"_of_{c}"]) for c in orders])
+        out = out.join(found, same, "left").drop(*[f"_of_{c}" for c in orders])
     return out
 
 
-def hot_ranges(rows: DataFrame, lead: str, order_col: str, threshold: int) -> DataFrame:
+def hot_ranges(rows: DataFrame, lead: str, order_col, threshold: int) -> DataFrame:
     """Add ``_sb``: the number of the row's range of ``threshold`` consecutive rows of its key."""
-    ranked = global_rank(rows, [order_col], F.col(order_col), [lead], out="_pos")
+    orders = _orders(order_col)
+    ranked = global_rank(rows, orders, F.col(orders[0]), [lead], out="_pos")
     return ranked.withColumn("_sb", F.floor(F.col("_pos") / threshold).cast("long")).drop("_pos")
 
 
-def _hot_keyset(narrow: DataFrame, ks: list[str], order_col: str, date_col: str, gaps) -> DataFrame:
-    n, reach = gap_name(ks), max(gaps) + 1
+def _hot_keyset(narrow: DataFrame, ks: list[str], order_col, date_col: str, gaps, leaky: bool = True) -> DataFrame:
+    n, reach, orders = gap_name(ks), max(gaps) + 1, _orders(order_col)
     part = ", ".join(_q(k) for k in ks + ["_sb"])
-    w = f"(PARTITION BY {part} ORDER BY {_q(order_col)})"
+    w = f"(PARTITION BY {part} ORDER BY {_order_sql(order_col)})"
     shifts = {"_rn": F.expr(f"row_number() OVER {w}"), "_cnt": F.expr(f"count(1) OVER (PARTITION BY {part})")}
     for k in range(1, reach + 1):
         shifts[f"_b{k}"] = F.expr(f"lead({_q(date_col)}, {k}) OVER {w}")
         shifts[f"_b_{k}"] = F.expr(f"lag({_q(date_col)}, {k}) OVER {w}")
-    b = narrow.select(*ks, "_sb", order_col, date_col).withColumns(shifts)
+    b = narrow.select(*dict.fromkeys([*ks, "_sb", *orders, date_col])).withColumns(shifts)
     edge = b.where((F.col("_rn") <= reach) | (F.col("_rn") > F.col("_cnt") - reach)) \
-        .select(*ks, order_col, date_col)
-    ew = f"(PARTITION BY {', '.join(_q(k) for k in ks)} ORDER BY {_q(order_col)})"
-    e = edge.select(order_col, *[F.expr(f"{fn}({_q(date_col)}, {k}) OVER {ew}").alias(f"_e{'' if fn == 'lead' else '_'}{k}")
+        .select(*ks, "_sb", "_rn", *[c for c in dict.fromkeys([*orders, date_col]) if c not in ks])
+    ew = f"(PARTITION BY {', '.join(_q(k) for k in ks)} ORDER BY {_order_sql(order_col)})"
+    at = [*ks, "_sb", "_rn"]  # a row's place in its group
+    e = edge.select(*[F.col(c).alias(f"_at_{c}") for c in at], *[F.expr(f"{fn}({_q(date_col)}, {k}) OVER {ew}").alias(f"_e{'' if fn == 'lead' else '_'}{k}")
                                  for k in range(1, reach + 1) for fn in ("lead", "lag")])
-    fixed = b.join(e, order_col, "left")
+    fixed = b.join(e, reduce(lambda x, y: x & y, [b[c].eqNullSafe(e[f"_at_{c}"]) for c in at]), "left").drop(*[f"_at_{c}" for c in at])
 
     def d(k: int) -> str:
         if k == 0:
@@ -257,7 +269,11 @@ def _hot_keyset(narrow: DataFrame, ks: list[str], order_col: str, date_col: str,
 
     first = _first_order_d(n, d, gaps)
     second = _second_order_d(n, d, gaps)
-    f = fixed.select(*ks, "_sb", order_col, *[F.expr(e).alias(c) for c, e in {**first, **second}.items()])
+    names = feature_names(ks, gaps, leaky)
+    if not leaky:
+        return _hot_running(fixed, ks, orders, {c: x for c, x in first.items() if c.endswith("_last")},
+                            {c: x for c, x in second.items() if c in names}, names, w)
+    f = fixed.select(*[c for c in dict.fromkeys([*ks, "_sb", *orders])], *[F.expr(e).alias(c) for c, e in {**first, **second}.items()])
     aggs = []
     for c in first:
         aggs += [F.count(c).alias(f"{c}_count"), F.sum(c).alias(f"{c}__sum"), F.max(c).alias(f"{c}_max"),
@@ -271,5 +287,30 @@ def _hot_keyset(narrow: DataFrame, ks: list[str], order_col: str, date_col: str,
     for c in first:
         cols[f"{c}_mean"] = F.col(f"{c}__sum") / F.col(f"{c}_count")
     res = res.withColumns(cols)
-    names = feature_names(ks, gaps, True)
-    return res.select(order_col, *[F.expr(f"CASE WHEN {ok} THEN {_q(c)} END").alias(c) for c in names])
+    return res.select(*orders, *[F.expr(f"CASE WHEN {ok} THEN {_q(c)} END").alias(c) for c in names])
+
+
+def _hot_running(fixed: DataFrame, ks: list[str], orders: list[str], first: dict, second: dict, names: list[str], w: str) -> DataFrame:
+    """Backward gaps of hot rows with their running count, mean, max and min, carried over the ranges."""
+    f = fixed.select(*dict.fromkeys([*ks, "_sb", *orders]), *[F.expr(x).alias(c) for c, x in {**first, **second}.items()])
+    run = f"{w[:-1]} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    kinds = {"count": "count", "sum": "sum", "max": "max", "min": "min"}
+    inside = f.withColumns({f"_in_{k}_{c}": F.expr(f"{fn}({_q(c)}) OVER {run}") for c in first for k, fn in kinds.items()})
+    totals = f.groupBy(*ks, "_sb").agg(*[F.expr(f"{fn}({_q(c)})").alias(f"_{k}_{c}") for c in first for k, fn in kinds.items()])
+    # one row per group and range; the ranges of one key are as many as its rows by the threshold
+    before = f"(PARTITION BY {', '.join(_q(k) for k in ks)} ORDER BY _sb ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    over = {"count": "sum", "sum": "sum", "max": "max", "min": "min"}
+    carry = totals.select(*[F.col(k).alias(f"_at_{k}") for k in [*ks, "_sb"]], *[
+        F.expr(f"{over[k]}({_q(f'_{k}_{c}')}) OVER {before}").alias(f"_ca_{k}_{c}") for c in first for k in kinds])
+    same = reduce(lambda a, b: a & b, [inside[k].eqNullSafe(carry[f"_at_{k}"]) for k in [*ks, "_sb"]])
+    both = inside.join(carry, same, "left")
+
+    def part(kind: str, c: str):
+        return F.col(f"_in_{kind}_{c}"), F.col(f"_ca_{kind}_{c}")
+    cols = {}
+    for c in first:
+        n, total = (F.coalesce(part(k, c)[0], F.lit(0)) + F.coalesce(part(k, c)[1], F.lit(0)) for k in ("count", "sum"))
+        cols |= {f"{c}_count": n, f"{c}_mean": F.when(n > 0, total / n), f"{c}_max": F.greatest(*part("max", c)), f"{c}_min": F.least(*part("min", c))}
+    ok = " AND ".join(f"{_q(k)} IS NOT NULL" for k in ks)
+    res = both.withColumns(cols)
+    return res.select(*orders, *[F.expr(f"CASE WHEN {ok} THEN {_q(c)} END").alias(c) for c in names])

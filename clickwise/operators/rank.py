@@ -31,8 +31,8 @@ def default_buckets(spark) -> int:
     return min(MAX_BUCKETS, max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) * 4))
 
 
-def _bucketize(df: DataFrame, sort_key: Column, n_buckets: int, out: str) -> DataFrame:
-    # nulls first and NaN last, as Spark sorts them
+def bucketize(df: DataFrame, sort_key: Column, n_buckets: int, out: str) -> DataFrame:
+    """Add ``out``: the number of the row's range of the sort key (nulls first and NaN last, as Spark sorts them)."""
     key = sort_key.cast("double")
     keyed = df.withColumn("_rk_key", F.coalesce(F.nanvl(key, F.lit(float("inf"))), F.lit(float("-inf"))))
     probs = [i / n_buckets for i in range(1, n_buckets)]
@@ -66,7 +66,7 @@ def running_scan(df: DataFrame, specs: list[tuple[Column | str, str, str]], orde
     group_cols = list(group_cols)
     n_buckets = n_buckets or default_buckets(df.sparkSession)
     vals = {f"_rk_v{i}": (F.col(v) if isinstance(v, str) else v) for i, (v, _, _) in enumerate(specs)}
-    b = _bucketize(df.withColumns(vals), sort_key, n_buckets, "_rk_b")
+    b = bucketize(df.withColumns(vals), sort_key, n_buckets, "_rk_b")
     totals = b.groupBy(*group_cols, "_rk_b").agg(
         *[_AGG[kind](f"_rk_v{i}").alias(f"_rk_t{i}") for i, (_, kind, _) in enumerate(specs)])
     ow = Window.partitionBy(*group_cols).orderBy("_rk_b").rowsBetween(Window.unboundedPreceding, -1)

@@ -54,5 +54,33 @@ def test_header_in_another_order_is_refused(spark, tmp_path):
 def test_test_rows_are_filled_from_train_statistics(spark):
     train = spark.createDataFrame([(1.0,), (3.0,), (None,)], "x double")
     test = spark.createDataFrame([(10.0,), (None,)], "x double")
-    out, feats = md.prepare(test, ["x"], "mean", flags=False, fit_on=train)
-    assert sorted(r["x"] for r in out.collect()) == [2.0, 10.0] and feats == ["x"]
+    out = md.fill_mean(test, ["x"], fit_on=train)
+    assert sorted(r["x"] for r in out.collect()) == [2.0, 10.0]
+
+
+@pytest.mark.parametrize("threshold", [1, 7, 40])
+def test_running_statistics_of_hot_keys_are_carried_over_the_ranges(spark, threshold):
+    """leaky=False on split groups equals the plain windows, with ties in the time, null keys and null times."""
+    rows = [(i, 1 if i % 3 else i % 11, None if i % 13 == 0 else i % 4, None if i % 17 == 0 else (i * 37) % 200, 1000 + (i * 7) % 90) for i in range(400)]
+    df = spark.createDataFrame(rows, "log_id long, user_id long, adv_id long, date long, pt_d long")
+    key_sets, order = [["user_id"], ["user_id", "adv_id"]], ["pt_d", "log_id"]
+    plain = gp.gap_features(df, key_sets, order, leaky=False, hot_threshold=None)
+    split = gp.gap_features(df, key_sets, order, leaky=False, hot_threshold=threshold)
+    assert plain.columns == split.columns
+    assert sorted(map(str, plain.collect())) == sorted(map(str, split.collect()))
+
+
+@pytest.mark.parametrize("k", [1, 2, 5])
+def test_global_shift_carries_over_the_bucket_edges(spark, k):
+    from clickwise.operators import basic
+    rows = [(i, None if i % 7 == 0 else float(i), (i * 37) % 101) for i in range(101)]
+    df = spark.createDataFrame(rows, "log_id long, v double, ro long").repartition(5)
+    want = {r[0]: None for r in rows}
+    ordered = sorted(rows, key=lambda r: r[2])
+    want |= {b[0]: a[1] for a, b in zip(ordered, ordered[k:])}
+    for n in (1, 4, 60):
+        got = basic.global_shift(df, "v", ["ro"], F.col("ro"), k, n_buckets=n)
+        assert got.columns == ["log_id", "v", "ro", f"v_lag{k}"]
+        assert {r["log_id"]: r[f"v_lag{k}"] for r in got.collect()} == want
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1
