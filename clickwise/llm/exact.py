@@ -10,7 +10,7 @@ An entry is verified by length and a second, independent hash beside the SHA-256
 digest only stay apart.
 
 Null texts count as empty. A null doc_id is never preferred to another; a group of null ids only has a null
-keep_id. Rows repeated with the same doc_id and text all count; ``kept`` holds for each of them. An empty
+keep_id; there are no other ties. A very long text is read for its digests only. Rows repeated with the same doc_id and text all count; ``kept`` holds for each of them. An empty
 table gives no rows. Only the id and text columns are read, so other columns cannot clash.
 """
 

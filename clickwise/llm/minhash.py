@@ -19,7 +19,8 @@ star-shaped candidate edges.
 
 Null and empty texts, and texts of white space alone, have an empty set and are linked with nothing. Repeated
 rows and equal sets are one class. A null doc_id never names a component unless all of its members' are
-null. An empty table gives no rows. Only the id and text columns are read.
+null; ties for the centre of a bucket go to the smallest digest. A very long text is hashed whole, its set of shingles held by one task (8 bytes a
+shingle). An empty table gives no rows. Only the id and text columns are read.
 """
 
 from __future__ import annotations

@@ -9,7 +9,8 @@ every row computes its slot from its block number. When a source has no blocks l
 which the others share by their own weights; every row is placed, none repeated.
 
 Sources outside the weight table, and null sources, form one class of their own (``rest_weight``). Repeated
-rows get places of their own; null or empty texts do not matter here. An empty table gives no rows. Only the
+rows get places of their own; null, empty or very long texts do not matter here (a text is hashed at most). Equal deadlines go to
+the smallest class name. An empty table gives no rows. Only the
 id and source columns (and the text's hash, to order rows with equal ids) are read.
 """
 

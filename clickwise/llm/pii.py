@@ -11,7 +11,8 @@ Training: windows of at most ``fit_docs`` documents, drawn by a seeded hash from
 patterns, and the same windows with each match rewritten into another notation of its kind, or into
 something else (dates, versions, prices, failed checksums) that is labelled as none.
 
-Null texts count as empty; empty texts have no spans. Repeated rows are tagged each for themselves. An empty table gives no
+Null texts count as empty; empty texts have no spans. Ties between segmentations go to the unit outside an entity, then the earliest start, then the
+kinds as listed. A very long text is tagged whole, its windows decoded some units at a time. Repeated rows are tagged each for themselves. An empty table gives no
 rows (and an untrained model, which adds nothing). Only the id and text columns are read. Offsets count code points.
 """
 

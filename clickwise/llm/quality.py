@@ -9,7 +9,8 @@ logistic curve fitted on a part of the sample that the model did not see turns m
 
 Null and empty texts have no features; their score comes from the intercept alone. Rows with a null label or
 a null doc_id are never learned from; rows repeated in the labels count as often. With fewer than
-two rows of a class all scores are the smoothed share of class 1 (0.5 without labels). An empty table gives no
+two rows of a class all scores are the smoothed share of class 1 (0.5 without labels). Ties in the draw of the sample go by the
+row hash and id; a score of exactly 0.5 predicts 1. A very long text is read whole. An empty table gives no
 rows. Only the id and text columns are read; the score depends on the text alone.
 """
 

@@ -15,7 +15,7 @@ A block holds whole documents and closes at BLOCK_TOKENS, so blocks are independ
 
 Null texts are empty documents: the end id alone. Documents are in ascending doc_id order, null ids first,
 equal ids by a hash of their text; repeated rows are all written. An empty table gives an empty set and no
-rows. Only the id and text columns are read. A wrong checksum raises an error.
+rows. A very long text is one document in one block, however long. Only the id and text columns are read. A wrong checksum raises an error.
 """
 
 from __future__ import annotations

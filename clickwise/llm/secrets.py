@@ -10,7 +10,9 @@ strict formats (fixed-prefix keys, a long mixed value assigned to a telling name
 reading (a payment card, telephone number or address, a date, plain digits, a word).  At most ``fit_rows`` findings
 of each class, drawn by a seeded hash, are fitted on. If one class is missing there is no forest: the label decides, and a finding without one has a null probability and is no secret.
 
-Null texts count as empty; empty texts have no findings. Repeated rows are scanned each for themselves. An empty table gives no
+Null texts count as empty; empty texts have no findings. Repeated rows are scanned each for themselves. Findings that overlap are
+merged; a probability of exactly 0.5 is a secret. A run of fewer than ``MIN_LENGTH`` (12) characters is a finding only behind a key prefix or a telling
+name. A very long text is scanned whole. An empty table gives no
 rows. Only the id, path and text columns are read. Offsets count code points.
 """
 

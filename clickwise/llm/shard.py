@@ -7,7 +7,8 @@ result div shards: row counts differ by at most one, slots are gapless, and both
 row number alone.
 
 Nulls: a null text has size 16 and the checksum of the empty text; a null doc_id is hashed as null.
-Repeated rows get places of their own. An empty table gives no rows. Only the id and text columns are read.
+Repeated rows get places of their own; rows with equal hashes are ordered by id, then text hash. A very long text is
+read for its size and checksum only. An empty table gives no rows. Only the id and text columns are read.
 """
 
 from __future__ import annotations

@@ -10,7 +10,8 @@ a table; each meeting is checked by its Hamming distance. Equal fingerprints are
 documents whose doc_id is a multiple of 20 among all.
 
 Null and empty texts, and texts of white space alone, have no terms: fingerprint 0. Equal texts have equal fingerprints, so
-repeated rows do too. An empty table gives no rows. Only the id and text columns are read.
+repeated rows do too. A bit whose votes are tied is 0. A very long text is
+held whole by one task. An empty table gives no rows. Only the id and text columns are read.
 """
 
 from __future__ import annotations
