@@ -13,8 +13,8 @@ star-shaped candidate edges.
    compared across components. Shingles that at most FEW of them hold are matched directly; a pair that shares none of
    those can only be similar if both hold few of them and share one of the rarest others (the rarest
    n - ceil(0.8 n) + 1 shingles of similar texts always meet). Such a pair is taken once, at its first common
-   shingle, if the heads of both lists share enough for the rest to reach the threshold. Before texts meet, their profiles (size and
-   shareable part) do, so texts that share a passage below the threshold are not paired at all. All bounds are exact:
+   shingle, if the heads of both lists share enough for the rest to reach the threshold. Before the texts of a shingle that more than CROWD
+   hold meet, their profiles (size and shareable part) do, so texts that share a passage below the threshold are not paired. All bounds are exact:
    they drop pairs below the threshold only. What is left is confirmed in the same way.
 
 Null and empty texts, and texts of white space alone, have an empty set and are linked with nothing. Repeated
@@ -44,6 +44,8 @@ BINS = ROWS * BANDS
 PERCENT = 80
 #: A shingle that at most so many of the compared texts hold is counted out (see step 4).
 FEW = 16
+#: Texts of a shingle that is shared by more than so many (compared ones) meet by their profiles first (see step 4).
+CROWD = 256
 #: Shingles of a text that are compared before its whole set is.
 HEAD = 64
 CARRIED = ("cls", "label", "n", "few", "_r", "head", "last", "rest")
@@ -214,14 +216,20 @@ def _residual_pairs(members: DataFrame, roots: DataFrame, sets: DataFrame, perce
     prefix = scratch_table(ranked.where(F.col("_r") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)
                            .join(heads, F.col("cls") == F.col("_c")).select("sh", *CARRIED), "left-prefix")
     by_label = prefix.groupBy("sh", "label").agg(F.count(F.lit(1)).alias("_c"))
-    most = scratch_table(by_label.groupBy("sh").agg(F.max_by("label", F.struct("_c", "label")).alias("_most"),
-                                                    F.count(F.lit(1)).alias("_k")).where("_k > 1").select("sh", "_most"), "left-most")
+    most = scratch_table(by_label.groupBy("sh").agg(F.max_by("label", F.struct("_c", "label")).alias("_most"), F.sum("_c").alias("_rows"),
+                                                    F.count(F.lit(1)).alias("_k")).where("_k > 1").select("sh", "_most", "_rows"), "left-most")
     stray = scratch_table(prefix.join(most, "sh").where("label <> _most")
-                          .select("sh", "_most", _profile("n", "few").alias("pa"), *[F.col(c).alias(f"{c}_a") for c in CARRIED]), "strays")
-    other = prefix.select("sh", _profile("n", "few").alias("pb"), *[F.col(c).alias(f"{c}_b") for c in CARRIED])
+                          .select("sh", "_most", "_rows", _profile("n", "few").alias("pa"), *[F.col(c).alias(f"{c}_a") for c in CARRIED]), "strays")
+    side_b = [_profile("n", "few").alias("pb"), *[F.col(c).alias(f"{c}_b") for c in CARRIED]]
+    other = prefix.select(F.col("sh").alias("_sh"), *side_b)
     near = possible.replace("shared", "0")
-    stray = stray.join(_meeting_profiles(stray, other, percent), ["sh", "pa"]).withColumnRenamed("pb", "_pb")
-    other = other.withColumnRenamed("sh", "_sh")
+    # texts of a shingle that many hold meet by their profiles, those of the others directly
+    crowded = stray.where(F.col("_rows") > CROWD)
+    in_crowds = prefix.join(most.where(F.col("_rows") > CROWD).select("sh"), "sh").select("sh", *side_b)
+    meeting = _meeting_profiles(crowded, in_crowds, percent)
+    met = (stray.where(F.col("_rows") <= CROWD).join(other, F.col("sh") == F.col("_sh"))
+           .unionByName(crowded.join(meeting.withColumnRenamed("pb", "_pb"), ["sh", "pa"])
+                        .join(other, (F.col("sh") == F.col("_sh")) & (F.col("_pb") == F.col("pb"))).drop("_pb")))
     # the rarest common shingle is among the first of the smaller text; before it nothing is common, and of the
     # counted-out ones none is
     place = (f"{percent} * (n_a + n_b) <= (100 + {percent}) * (least(_r_a - few_a, _r_b - few_b) + least(n_a - _r_a, n_b - _r_b))"
@@ -233,7 +241,7 @@ def _residual_pairs(members: DataFrame, roots: DataFrame, sets: DataFrame, perce
     first = f"size({share}) = 0 OR {share}[0] = sh"
     rest = "CASE WHEN last_a IS NULL THEN IF(last_b IS NULL, 0, rest_b) WHEN last_b IS NULL OR last_a <= last_b THEN rest_a ELSE rest_b END"
     enough = f"{percent} * (n_a + n_b) <= (100 + {percent}) * (size({share}) + {rest})"
-    by_rest = (stray.join(other, (F.col("sh") == F.col("_sh")) & (F.col("_pb") == F.col("pb"))).where(F.col("label_a") != F.col("label_b")).where(_similar_sizes("n_a", "n_b", percent))
+    by_rest = (met.where(F.col("label_a") != F.col("label_b")).where(_similar_sizes("n_a", "n_b", percent))
                .where("label_b = _most OR cls_a < cls_b").where(near).where(place).where(first).where(enough)
                .select(F.least("cls_a", "cls_b").alias("a"), F.greatest("cls_a", "cls_b").alias("b")))
     return scratch_table(by_few.union(by_rest).distinct(), "left-pairs")
