@@ -15,7 +15,7 @@ from itertools import islice
 import numpy as np
 
 #: Pieces that a worker remembers (about 200 bytes each); the others are encoded again in each batch.
-CACHE_PIECES = 600_000
+CACHE_PIECES = 400_000
 END_ID = 2
 _STOPS = frozenset((b",", b"."))
 
