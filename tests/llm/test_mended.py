@@ -110,15 +110,14 @@ def test_texts_with_a_common_passage_are_not_paired(spark, make, monkeypatch):
             monkeypatch.setattr(minhash, "scratch_table", keep)
     monkeypatch.setattr(minhash, "_residual_pairs", residual)
     monkeypatch.setattr(minhash, "CROWD", 50)
-    got = minhash.near_groups(make(boilerplate(120)), 4).toPandas()
+    got = minhash.near_groups(make(boilerplate(80)), 4).toPandas()
     assert (got.component_id == got.doc_id).all()
     assert counted["strays"] > 0 and counted["profiles-that-meet"] == 0
 
 
-@pytest.mark.parametrize("crowd", [3, 256])
-def test_similar_texts_among_a_common_passage_are_linked(make, monkeypatch, crowd):
+def test_similar_texts_among_a_common_passage_are_linked(make, monkeypatch):
     from clickwise.llm import minhash
-    monkeypatch.setattr(minhash, "CROWD", crowd)
+    monkeypatch.setattr(minhash, "CROWD", 3)
     from .test_operators import near_plain
     rng = random.Random(8)
     texts = boilerplate(40)
