@@ -1,8 +1,8 @@
 """Token ids of whole texts by a public vocabulary file (the tokenizers library, no special tokens).
 
 The vocabulary drops white space, so a text's ids are the ids of its pieces between ASCII white space, one
-after another; frequent pieces are remembered by each Python worker and the others are encoded in one call a
-batch. The memory of a worker is bounded by ``CACHE_PIECES``.
+after another; pieces that come again are remembered by each Python worker and the others are encoded in one call a
+batch. The memory of a worker is bounded by ``CACHE_PIECES`` and ``SEEN_BITS``; neither changes an id.
 """
 
 from __future__ import annotations
@@ -10,16 +10,20 @@ from __future__ import annotations
 import os
 from array import array
 from collections.abc import Iterator
-from itertools import islice
+from itertools import compress
 
 import numpy as np
 
 #: Pieces that a worker remembers (about 200 bytes each); the others are encoded again in each batch.
-CACHE_PIECES = 400_000
+CACHE_PIECES = 200_000
+#: A piece is remembered when it is new for the second time: its hash is marked in a table of 2**SEEN_BITS bytes, emptied when a
+#: third is marked. Most pieces of the long tail never come again.
+SEEN_BITS = 22
 END_ID = 2
 _STOPS = frozenset((b",", b"."))
 
 _loaded: dict[str, tuple] = {}
+_seen = np.zeros(1 << SEEN_BITS, bool)
 
 
 def vocabulary() -> str:
@@ -52,18 +56,20 @@ def encode_texts(texts: list[str | bytes | None], path: str | None = None, end_i
             done.append(b"".join(map(cache.get, ps)))  # one look-up a piece; a piece that is not known (None) cannot be joined
         except TypeError:
             waiting[len(done)] = ps
-            missing.update(p for p in ps if p not in cache)
+            missing.update(set(ps).difference(cache))
             done.append(None)
     if missing:
-        known = _with_fresh(tok, cache, missing)
+        fresh = _fresh(tok, cache, missing)
+        cache.update(fresh)  # for this batch all of them
         for i, ps in waiting.items():
-            done[i] = b"".join(map(known.__getitem__, ps))
+            done[i] = b"".join(map(cache.__getitem__, ps))
+        _forget(cache, fresh)
     for ids in done:
         yield np.frombuffer(ids + tail, dtype="<u4")
 
 
-def _with_fresh(tok, cache: dict[bytes, bytes], missing: set[bytes]) -> dict[bytes, bytes]:
-    """Encode the missing pieces; remember them as far as there is room, and return a mapping that has them all."""
+def _fresh(tok, cache: dict[bytes, bytes], missing: set[bytes]) -> dict[bytes, bytes]:
+    """The ids of the missing pieces, and of what was encoded for them, none of it in the memory."""
     # a comma or full stop behind a letter is a piece of its own to the vocabulary's splitter
     stops = [p for p in missing if p[-1:] in _STOPS and p[-2:-1].isalpha()]
     missing.difference_update(stops)
@@ -72,12 +78,21 @@ def _with_fresh(tok, cache: dict[bytes, bytes], missing: set[bytes]) -> dict[byt
     fresh = _encode_pieces(tok, missing)
     for p in stops:
         fresh[p] = b"".join(fresh.get(x) or cache[x] for x in (p[:-1], p[-1:]))
-    room = CACHE_PIECES - len(cache)
-    if len(fresh) <= room:
-        cache.update(fresh)
-        return cache
-    cache.update(islice(fresh.items(), max(0, room)))
-    return _Both(cache, fresh)
+    return fresh
+
+
+def _forget(cache: dict[bytes, bytes], fresh: dict[bytes, bytes]) -> None:
+    """Take the batch's new pieces out of the memory again, but those whose hash was marked before, as far as there is room. All are
+    marked."""
+    at = np.fromiter(map(hash, fresh), np.int64, len(fresh)) & ((1 << SEEN_BITS) - 1)
+    again = _seen[at]
+    room = max(0, CACHE_PIECES - (len(cache) - len(fresh)))
+    again &= np.cumsum(again) <= room
+    for p in compress(fresh, ~again):
+        del cache[p]
+    _seen[at] = True
+    if np.count_nonzero(_seen) > len(_seen) // 3:
+        _seen[:] = False
 
 
 def _pieces(raw: bytes) -> list[bytes]:
@@ -116,14 +131,3 @@ def _byte_chars() -> dict[int, int]:
 
 
 _BYTE_CHARS = _byte_chars()
-
-
-class _Both(dict):
-    """The remembered pieces and, where one is not among them, those of this batch."""
-
-    def __init__(self, cache: dict, fresh: dict):
-        super().__init__(fresh)
-        self._cache = cache
-
-    def __missing__(self, key):
-        return self._cache[key]
