@@ -2,7 +2,7 @@
 
 The vocabulary drops white space, so a text's ids are the ids of its pieces between ASCII white space, one
 after another; pieces that come again are remembered by each Python worker and the others are encoded in one call a
-batch. The memory of a worker is bounded by ``CACHE_PIECES`` and ``SEEN_BITS``; neither changes an id.
+group of texts. The memory of a worker is bounded by ``CACHE_PIECES`` and ``SEEN_BITS``; neither changes an id.
 """
 
 from __future__ import annotations
@@ -14,11 +14,13 @@ from itertools import compress
 
 import numpy as np
 
-#: Pieces that a worker remembers (about 200 bytes each); the others are encoded again in each batch.
+#: Pieces that a worker remembers (about 200 bytes each); the others are encoded again in each group of texts.
 CACHE_PIECES = 200_000
 #: A piece is remembered when it is new for the second time: its hash is marked in a table of 2**SEEN_BITS bytes, emptied when a
 #: third is marked. Most pieces of the long tail never come again.
 SEEN_BITS = 22
+#: Texts are taken some at a time, about so many pieces (60 bytes each while they are in hand).
+GROUP_PIECES = 1 << 16
 END_ID = 2
 _STOPS = frozenset((b",", b"."))
 
@@ -47,22 +49,33 @@ def encode_texts(texts: list[str | bytes | None], path: str | None = None, end_i
     """The uint32 ids of each text (null: empty; as a string or in UTF-8), followed by ``end_id``."""
     tok, cache = _tokenizer(path)
     tail = b"" if end_id is None else np.array([end_id], dtype="<u4").tobytes()
+    some: list[list[bytes]] = []
+    pieces = 0
+    for t in texts:
+        some.append(_pieces(t.encode() if isinstance(t, str) else t) if t else [])
+        pieces += len(some[-1])
+        if pieces >= GROUP_PIECES:
+            yield from _joined(tok, cache, some, tail)
+            some, pieces = [], 0
+    yield from _joined(tok, cache, some, tail)
+
+
+def _joined(tok, cache: dict[bytes, bytes], texts: list[list[bytes]], tail: bytes) -> Iterator[np.ndarray]:
+    """The ids of some texts, given in pieces."""
     done: list[bytes | None] = []
-    waiting: dict[int, list[bytes]] = {}
     missing: set[bytes] = set()
-    for t in texts:
-        ps = _pieces(t.encode() if isinstance(t, str) else t) if t else []
+    for ps in texts:
         try:
             done.append(b"".join(map(cache.get, ps)))  # one look-up a piece; a piece that is not known (None) cannot be joined
         except TypeError:
-            waiting[len(done)] = ps
             missing.update(set(ps).difference(cache))
             done.append(None)
     if missing:
         fresh = _fresh(tok, cache, missing)
-        cache.update(fresh)  # for this batch all of them
-        for i, ps in waiting.items():
-            done[i] = b"".join(map(cache.__getitem__, ps))
+        cache.update(fresh)  # for these texts all of them
+        for i, ids in enumerate(done):
+            if ids is None:
+                done[i] = b"".join(map(cache.__getitem__, texts[i]))
         _forget(cache, fresh)
     for ids in done:
         yield np.frombuffer(ids + tail, dtype="<u4")
@@ -82,7 +95,7 @@ def _fresh(tok, cache: dict[bytes, bytes], missing: set[bytes]) -> dict[bytes, b
 
 
 def _forget(cache: dict[bytes, bytes], fresh: dict[bytes, bytes]) -> None:
-    """Take the batch's new pieces out of the memory again, but those whose hash was marked before, as far as there is room. All are
+    """Take the new pieces out of the memory again, but those whose hash was marked before, as far as there is room. All are
     marked."""
     at = np.fromiter(map(hash, fresh), np.int64, len(fresh)) & ((1 << SEEN_BITS) - 1)
     again = _seen[at]
