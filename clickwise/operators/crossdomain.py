@@ -9,9 +9,10 @@ Distinct counts have two exact plans:
 
 * ``"set"``   – ``size(collect_set(c))`` per user: one shuffle of pre-aggregated sets. Its state is
   bounded by the distinct values of *one* user, so it is only safe when no user is huge.
-* ``"dedup"`` – unpivot to ``(user, column, value)``, drop duplicates (shuffle keyed on the value,
-  so a hot user is spread over all tasks), then count per user with map-side combine. Never holds
-  a group in one task.
+* ``"dedup"`` – drop duplicates of ``(user, column, value)`` and count per user. Users with more than ``SET_MAX_ROWS`` rows are unpivoted
+  (shuffle keyed on the value, so a hot user is spread over all tasks; counted per user with map-side combine): no such group is held in one
+  task. The rows of all other users are moved once as they are, by user, and their values counted in the task that gets them: an
+  entry a column would move each user id as often as there are columns.
 
 ``"auto"`` (default) asks whether any user has more than ``SET_MAX_ROWS`` feed rows (one partial
 aggregation, one row brought back) and takes ``"set"`` when none does, ``"dedup"`` otherwise.
@@ -19,14 +20,20 @@ aggregation, one row brought back) and takes ``"set"`` when none does, ``"dedup"
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickwise.operators.skew import DEFAULT_HOT_THRESHOLD, hot_keys, keyed_left_join
+from clickwise.operators.gap_rows import distinct_counts
+from clickwise.operators.skew import DEFAULT_HOT_THRESHOLD, keyed_left_join
+from clickwise.session import ship_package
 
 NUNI_SUFFIX = "_feeds_nuni"
 SET_MAX_ROWS = 100_000  # largest per-user row count for which a per-user value set is kept in memory
+ROWS_PER_TASK = 500_000  # feed rows whose values one task counts, unless the shuffle partitions make them fewer
 MEAN_SUFFIX = "_feeds_mean"
 
 # Columns the reference leaves out of each feature kind (by name, in the real feed log).
@@ -65,16 +72,47 @@ def user_nunique(feeds: DataFrame, cols: list[str] | None = None, key: str = "u_
     """One row per user: ``<col>_feeds_nuni`` = number of distinct non-null values (A1)."""
     cols = cols if cols is not None else default_nunique_columns(feeds, key)
     src = feeds.where(F.col(key).isNotNull())
-    if method == "auto":
+    if method in ("auto", "dedup"):
         # sets are held per user: take them only when no user has more than SET_MAX_ROWS rows
         limit = SET_MAX_ROWS if hot_threshold is None else min(hot_threshold, SET_MAX_ROWS)
-        big = hot_keys(src, [key], limit).take(1)
-        method = "dedup" if big else "set"
+        per_user = src.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+        rows, most = per_user.agg(F.sum("_n"), F.max("_n")).first()
+        big = (most or 0) > limit
+        method = "dedup" if big or method == "dedup" else "set"
     if method == "set":
         return src.groupBy(key).agg(
             *[F.size(F.collect_set(_set_value(src, c))).cast("long").alias(c + NUNI_SUFFIX) for c in cols])
     if method != "dedup":
         raise ValueError(f"unknown method {method!r}")
+    if not big:
+        return _counted_by_user(src, cols, key, rows or 0)
+    # at most N / limit users
+    hot = src.sparkSession.createDataFrame(per_user.where(F.col("_n") > limit).select(key).collect(), src.select(key).schema)
+    cold = src.join(F.broadcast(hot), key, "left_anti")
+    return _counted_by_user(cold, cols, key, rows).unionByName(_counted_by_value(src.join(F.broadcast(hot), key, "left_semi"), cols, key))
+
+
+def _counted_by_user(src: DataFrame, cols: list[str], key: str, rows: int) -> DataFrame:
+    """Rows moved once, by user; the distinct values of every user counted in its task."""
+    nested = (T.ArrayType, T.StructType, T.MapType)
+    values = [(_as_text(src, c) if isinstance(src.schema[c].dataType, nested) else F.col(c)).alias(f"c{i}") for i, c in enumerate(cols)]
+    names = [c + NUNI_SUFFIX for c in cols]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if held:
+            users, counts = distinct_counts(pa.Table.from_batches(held))
+            yield pa.RecordBatch.from_arrays([users, *map(pa.array, counts)], names=[key, *names])
+    ship_package(src.sparkSession)
+    narrow = src.select(F.col(key), *values)
+    tasks = rows // ROWS_PER_TASK + 1
+    wide = tasks > int(src.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (narrow.repartition(tasks, key) if wide else narrow.repartition(key)).mapInArrow(
+        count, T.StructType([src.schema[key], *[T.StructField(c, T.LongType(), False) for c in names]]))
+
+
+def _counted_by_value(src: DataFrame, cols: list[str], key: str) -> DataFrame:
+    """(user, column, value) entries spread by value."""
     # (cid=-1, '') marks every user once, so a user whose values are all null still gets zeros.
     entries = [F.struct(F.lit(-1).alias("cid"), F.lit("").alias("v"))]
     entries += [F.struct(F.lit(i).alias("cid"), _as_text(src, c).alias("v")) for i, c in enumerate(cols)]

@@ -48,3 +48,27 @@ def test_large_tables_get_more_tasks(spark, monkeypatch):
     monkeypatch.setattr(gp, "ROWS_PER_TASK", 10)
     got = gp.gap_features(_rows(spark, 300), [["u"]])
     assert got.rdd.getNumPartitions() == 31 and got.count() == 300
+
+
+def test_distinct_counts_move_each_row_once(spark):
+    """Users below the bound: one row a feed row is moved, not one a value. A larger user is spread by value; the counts are the same."""
+    from clickwise.operators import crossdomain as xd
+    r = random.Random(3)
+    rows = [(r.choice([1, 2, 3, 4, None]) if i % 2 else 9, r.choice("abc"), r.choice([0.0, -0.0, float("nan"), 1.5, None]), [i % 3], None) for i in range(400)]
+    feeds = spark.createDataFrame(rows, "u_userId long, s string, v double, a array<int>, n int")
+    cols = ["s", "v", "a", "n"]
+    got = xd.user_nunique(feeds, cols, method="dedup")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and plan.count("Exchange") == 1
+    spread = xd.user_nunique(feeds, cols, method="dedup", hot_threshold=100)
+    assert "Generate" in spread._jdf.queryExecution().executedPlan().toString()
+    want = {}
+    for u, *vs in rows:
+        if u is not None:
+            seen = want.setdefault(u, [set() for _ in cols])
+            for s, v in zip(seen, vs):
+                if v is not None:
+                    s.add(str(v + 0.0 if isinstance(v, float) else v))
+    want = sorted((u, *map(len, s)) for u, s in want.items())
+    assert sorted(map(tuple, got.collect())) == want == sorted(map(tuple, spread.collect()))
+    assert got.dtypes == spread.dtypes and not xd.user_nunique(feeds.where("s = 'z'"), cols, method="dedup").collect()
