@@ -64,6 +64,7 @@ def pack_pieces(docs: DataFrame, length: int = LENGTH, vocabulary: str | None =
                                for s, k in cuts(len(ids), length)])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), batch.column(1),
                                               pa.array(pieces, out.field("pieces").type)], schema=out)
+        pa.default_memory_pool().release_unused()  # the worker goes on with other stages
 
     # the text spreads repeated and null ids over the buckets
     key = F.xxhash64(F.lit(seed), F.col(id_col), text_key(F.col(text_col)))

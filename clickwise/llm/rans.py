@@ -186,6 +186,11 @@ def read_table(spark: SparkSession, path: str) -> Table:
     return Table.of_frequencies(full)
 
 
+def id_bytes(texts: list[bytes | None], vocabulary: str | None, end_id: int | None) -> pa.BinaryArray:
+    """The ids of each text, four bytes each. Made of copies: what memoryviews hold, pa.array never gives back."""
+    return pa.array([ids.tobytes() for ids in encode_texts(texts, vocabulary, end_id)], pa.binary())
+
+
 def write_tokens(docs: DataFrame, path: str, vocabulary: str | None = None, end_id: int | None = END_ID,
                  id_col: str = "doc_id", text_col: str = "text", block_tokens: int = BLOCK_TOKENS) -> Table:
     """Encode all documents and write the file set, blocks and table, at ``path`` (any folder that Spark can write)."""
@@ -198,9 +203,9 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str | None = None, end_
         for b in batches:
             doc = b.column(0)
             part = np.where(doc.is_null(), 0, np.searchsorted(bounds, doc.fill_null(0).to_numpy(), "left"))
-            ids = [memoryview(x) for x in encode_texts(b.column(2).cast(pa.binary()).to_pylist(), vocabulary, end_id)]
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), doc, b.column(1), pa.array(ids, pa.binary())],
-                                             schema=ids_schema)
+            ids = id_bytes(b.column(2).cast(pa.binary()).to_pylist(), vocabulary, end_id)
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), doc, b.column(1), ids], schema=ids_schema)
+        pa.default_memory_pool().release_unused()  # the worker goes on with other stages
 
     raw_schema = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("doc_ids", pa.list_(pa.int64())),
                             ("lengths", pa.list_(pa.int32())), ("ids", pa.binary())])
