@@ -72,3 +72,28 @@ def test_distinct_counts_move_each_row_once(spark):
     want = sorted((u, *map(len, s)) for u, s in want.items())
     assert sorted(map(tuple, got.collect())) == want == sorted(map(tuple, spread.collect()))
     assert got.dtypes == spread.dtypes and not xd.user_nunique(feeds.where("s = 'z'"), cols, method="dedup").collect()
+
+
+def test_exchanges_move_rows_packed(spark):
+    """Between the families, and from the feed log to its users, rows are moved by columns and compressed, not as they are."""
+    from clickwise.operators import crossdomain as xd
+    got = gp.gap_features(_rows(spark, 3000), KEY_SETS)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange" in line]
+    assert len(exchanges) == 2 and all("hashpartitioning(to#" in line for line in exchanges)
+    r = random.Random(4)
+    feeds = spark.createDataFrame([(r.choice([1, 2, 3, None]), r.choice([None, 0.5, -0.0, 0.0]), r.choice([None, 3, 4]), r.choice("ab")) for _ in range(500)] + [(9, None, None, None)],
+                                  "u_userId long, v double, n int, s string")
+    got = xd.user_features(feeds, ["v", "n", "s"], ["v", "n"])
+    assert got._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    for method, threshold in (("set", 2_000_000), ("auto", 20)):  # the two aggregates, of which counts may be spread by value
+        want = xd.user_features(feeds, ["v", "n", "s"], ["v", "n"], method=method, hot_threshold=threshold)
+        assert got.dtypes == want.dtypes and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert not xd.user_features(feeds.where("n = 77"), ["v"], ["n"]).collect()
+
+
+def test_packed_rows_are_dealt_to_every_partition(spark):
+    from clickwise.operators.gap_rows import addresses
+    places = addresses(37).tolist()
+    where = spark.createDataFrame([(v,) for v in places], "v int").selectExpr("pmod(hash(v), 37) AS p").collect()
+    assert [r["p"] for r in where] == list(range(37))
